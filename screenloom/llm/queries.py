@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import characters, tokenization
+from screenloom.llm import characters, leakage, tokenization
 from screenloom.session import table
 
 
@@ -36,10 +36,22 @@ def p7_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenization.roundtrip(table(spark, sf_dir, "documents"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leakage.leaked(found).select("item_id", "doc_id")
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark")
+    return leakage.item_report(items, leakage.leaked(leakage.leaks(table(spark, sf_dir, "documents"), items)))
+
+
 QUERIES = {
     "p4_found": p4_found,
     "p4_normalized": p4_normalized,
     "p7_ids": p7_ids,
     "p7_offsets": p7_offsets,
     "p7_roundtrip": p7_roundtrip,
+    "p8_found": p8_found,
+    "p8_items": p8_items,
 }
