@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """As ``cut``, but as a Parquet table, so that later jobs read only the columns they need.
+
+    The table lies in the shared checkpoint folder and goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
