@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import characters, leakage, tokenization
+from screenloom.llm import characters, leakage, nearduplicates, tokenization
 from screenloom.session import table
 
 
+#: Likeness of p2, over runs of three words, as its statement asks.
+P2_WORDS, P2_LIKENESS = 3, 0.5
+
+
+def p2_operator(spark: SparkSession, sf_dir: str) -> nearduplicates.NearDuplicates:
+    rows = table(spark, sf_dir, "records").filter("abstract IS NOT NULL AND abstract NOT IN ('', 'NA')")
+    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.col("abstract"))
+    return nearduplicates.NearDuplicates(rows, "row_no", text, P2_WORDS, P2_LIKENESS)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_operator(spark, sf_dir).pairs().toDF("row_no_a", "row_no_b")
+
+
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_operator(spark, sf_dir).groups().withColumnRenamed("id", "row_no")
+
+
 def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(field, row_key, text) of the two fields that are compared with each other."""
     a = table(spark, sf_dir, "records").select(F.lit("records.abstract").alias("field"), F.col("row_no").alias("row_key"), F.col("abstract").alias("text"))
@@ -47,6 +65,8 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_groups": p2_groups,
     "p4_found": p4_found,
     "p4_normalized": p4_normalized,
     "p7_ids": p7_ids,
