@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import characters, leakage, nearduplicates, tokenization
+from screenloom.llm import characters, leakage, nearduplicates, titles, tokenization
 from screenloom.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return titles.already_there(table(spark, sf_dir, "records")).select("row_no")
+
+
+def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return titles.already_there(table(spark, sf_dir, "records"))
+
+
 #: Likeness of p2, over runs of three words, as its statement asks.
 P2_WORDS, P2_LIKENESS = 3, 0.5
 
@@ -65,6 +73,8 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_reasons": p1_reasons,
     "p2_found": p2_found,
     "p2_groups": p2_groups,
     "p4_found": p4_found,
