@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,24 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_screenloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="screenloom-package-"), "screenloom.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("screenloom", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._screenloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
