@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import characters, leakage, nearduplicates, titles, tokenization
+from screenloom.llm import abuse, characters, leakage, nearduplicates, titles, tokenization
 from screenloom.session import table
 
 
@@ -72,6 +72,18 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.item_report(items, leakage.leaked(leakage.leaks(table(spark, sf_dir, "documents"), items)))
 
 
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_scores(spark, sf_dir).filter("flagged").select("doc_id")
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.rates(p9_scores(spark, sf_dir))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_reasons": p1_reasons,
@@ -84,4 +96,7 @@ QUERIES = {
     "p7_roundtrip": p7_roundtrip,
     "p8_found": p8_found,
     "p8_items": p8_items,
+    "p9_found": p9_found,
+    "p9_scores": p9_scores,
+    "p9_rates": p9_rates,
 }
