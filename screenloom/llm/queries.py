@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import abuse, characters, leakage, nearduplicates, titles, tokenization
+from screenloom.llm import abuse, characters, leakage, nearduplicates, titles, tokenization, truncation
 from screenloom.session import table
 
 
@@ -50,6 +50,20 @@ def p4_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return characters.consistent_form(p4_texts(spark, sf_dir)).select("field", "row_key", "text")
 
 
+def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "records").select(F.lit("records.abstract").alias("field"), F.col("row_no").alias("row_key"), F.col("source_file").alias("source"), F.col("abstract").alias("text"))
+    b = table(spark, sf_dir, "results").select(F.lit("results.explanation").alias("field"), F.col("result_id").alias("row_key"), F.col("model").alias("source"), F.col("explanation").alias("text"))
+    return truncation.judged(a.unionByName(b).filter("text NOT IN ('', 'NA')"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_judged(spark, sf_dir).filter("cut").select("field", "row_key")
+
+
+def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.rates(p6_judged(spark, sf_dir))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenization.encode(table(spark, sf_dir, "documents"))
 
@@ -91,6 +105,9 @@ QUERIES = {
     "p2_groups": p2_groups,
     "p4_found": p4_found,
     "p4_normalized": p4_normalized,
+    "p6_found": p6_found,
+    "p6_judged": p6_judged,
+    "p6_rates": p6_rates,
     "p7_ids": p7_ids,
     "p7_offsets": p7_offsets,
     "p7_roundtrip": p7_roundtrip,
