@@ -1,8 +1,8 @@
 """New batches against all accepted history: a segment index for titles within a bounded edit distance.
 
 A title of length l is cut into SEGMENTS fixed segments, kept by (l, number, text). Two titles within TAU
-edits agree in at least SEGMENTS - TAU of them, so a new title probes, for each length within TAU, the
-substrings near each segment's place, and candidates are verified. A batch adds its own segments afterwards;
+edits agree in at least SHARED of them, so a new title probes, for each length within TAU, the substrings
+near each segment's place; titles that share SHARED entries are candidates and are verified. A batch adds its own segments afterwards;
 the history's titles are not read again, only the index entries that a probe meets.
 """
 
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from screenloom.session import stage
 
 TAU = 4
-SEGMENTS = TAU + 2
-#: An index entry with more titles than this is hot: it pairs titles only together with a second hot entry.
-HOT = 200
+#: Titles are joined on SHARED entries at once, not on one: a single segment ("costs and effects of") is shared by too many.
+SHARED = 3
+SEGMENTS = TAU + SHARED
 #: Two spellings are both words of their own if each stands in so many titles and they are about as frequent.
 OWN_WORD_TITLES, OWN_WORD_RATIO = 3, 0.02
 
@@ -219,24 +219,24 @@ def probes_of(classes: DataFrame) -> DataFrame:
 
 
 def candidates(probes: DataFrame, index: DataFrame) -> DataFrame:
-    """Distinct (probe, known) classes that share an index entry, or two hot ones.
+    """Distinct (probe, known) classes that share SHARED index entries.
 
-    Titles within TAU edits share at least two entries. If one of them is not hot, the plain join finds the
-    pair; if all are hot, at least two hot ones are shared, and the join on pairs of hot entries finds it.
-    Nothing is capped.
+    Titles within TAU edits do, so nothing is lost and nothing is capped. Probes that meet no entry go first;
+    what a class has left at a length is a handful of entries, and its threes are the join key. A key with
+    many titles is one for titles that agree in nearly half of their text; its rows are split by the
+    adaptive skew join.
     """
-    hot = stage(index.groupBy("entry").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("entry"))
-    seen, known = probes.withColumnRenamed("class", "probe"), index.withColumnRenamed("class", "known")
-    plain = seen.select("probe", "entry").join(known.join(hot, "entry", "left_anti").select("known", "entry"), "entry").select("probe", "known")
+    seen = probes.join(index.select("entry").distinct(), "entry", "left_semi").withColumnRenamed("class", "probe")
 
-    def twos(rows: DataFrame, key: str) -> DataFrame:
-        found = rows.join(hot, "entry", "left_semi").groupBy(key, "length").agg(F.collect_set(F.struct("number", "entry")).alias("own"))
+    def threes(rows: DataFrame, key: str) -> DataFrame:
+        found = rows.groupBy(key, "length").agg(F.collect_set(F.struct("number", "entry")).alias("own")).filter(F.size("own") >= SHARED)
         first = found.select(key, "own", F.explode("own").alias("x"))
-        both = first.select(key, "x", F.explode("own").alias("y")).filter("x.number < y.number")
-        return both.select(key, F.xxhash64("x.entry", "y.entry").alias("two"))
+        second = first.select(key, "own", "x", F.explode("own").alias("y")).filter("x.number < y.number")
+        third = second.select(key, "x", "y", F.explode("own").alias("z")).filter("y.number < z.number")
+        return third.select(key, F.xxhash64("x.entry", "y.entry", "z.entry").alias("three"))
 
-    pairs = twos(seen, "probe").join(twos(known, "known"), "two").select("probe", "known")
-    return plain.unionByName(pairs).filter("probe <> known").distinct()
+    known = threes(index.withColumnRenamed("class", "known"), "known")
+    return threes(seen, "probe").join(known, "three").filter("probe <> known").select("probe", "known").distinct()
 
 
 def verified(pairs: DataFrame, probe_classes: DataFrame, known_classes: DataFrame, titles: DataFrame) -> DataFrame:
