@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import abuse, characters, leakage, nearduplicates, titles, tokenization, truncation
+from screenloom.llm import abuse, characters, consensus, leakage, nearduplicates, titles, tokenization, truncation
 from screenloom.session import table
 
 
@@ -50,6 +50,31 @@ def p4_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return characters.consistent_form(p4_texts(spark, sf_dir)).select("field", "row_key", "text")
 
 
+def p5_operator(spark: SparkSession, sf_dir: str) -> consensus.Consensus:
+    records = table(spark, sf_dir, "records").filter("record_id IS NOT NULL")
+    text = F.concat_ws(" ", "title", "abstract")
+    texts = records.groupBy(F.col("record_id").alias("item")).agg(F.min_by(text, F.col("row_no")).alias("text"))
+    votes = table(spark, sf_dir, "results").select("record_id", "model", "screening_decision")
+    labels = table(spark, sf_dir, "gt_error_candidates_5_fp").select("record_id", "current_gt_label")
+    return consensus.Consensus(votes, labels, texts)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_operator(spark, sf_dir).items().select(F.col("item").alias("record_id"), "decision")
+
+
+def p5_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_operator(spark, sf_dir).items().withColumnRenamed("item", "record_id")
+
+
+def p5_annotators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_operator(spark, sf_dir).annotators()
+
+
+def p5_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_operator(spark, sf_dir).agreement()
+
+
 def p6_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "records").select(F.lit("records.abstract").alias("field"), F.col("row_no").alias("row_key"), F.col("source_file").alias("source"), F.col("abstract").alias("text"))
     b = table(spark, sf_dir, "results").select(F.lit("results.explanation").alias("field"), F.col("result_id").alias("row_key"), F.col("model").alias("source"), F.col("explanation").alias("text"))
@@ -105,6 +130,10 @@ QUERIES = {
     "p2_groups": p2_groups,
     "p4_found": p4_found,
     "p4_normalized": p4_normalized,
+    "p5_found": p5_found,
+    "p5_items": p5_items,
+    "p5_annotators": p5_annotators,
+    "p5_agreement": p5_agreement,
     "p6_found": p6_found,
     "p6_judged": p6_judged,
     "p6_rates": p6_rates,
