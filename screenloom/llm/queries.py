@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.llm import abuse, characters, consensus, leakage, nearduplicates, titles, tokenization, truncation
+from screenloom.llm import abuse, characters, consensus, leakage, names, nearduplicates, titles, tokenization, truncation
 from screenloom.session import table
 
 
@@ -35,6 +35,22 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_operator(spark, sf_dir).groups().withColumnRenamed("id", "row_no")
 
 
+def p3_operator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "library_export")
+    blanks = r"^\s+|\s+$"
+    people = rows.select(F.lit("authors").alias("field"), F.explode(F.split("authors", ";")).alias("name"))
+    periodicals = rows.select(F.lit("publication").alias("field"), F.col("publication").alias("name"))
+    return names.entities(people.unionByName(periodicals).withColumn("name", F.regexp_replace("name", blanks, "")))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.spelling_pairs(p3_operator(spark, sf_dir))
+
+
+def p3_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_operator(spark, sf_dir)
+
+
 def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(field, row_key, text) of the two fields that are compared with each other."""
     a = table(spark, sf_dir, "records").select(F.lit("records.abstract").alias("field"), F.col("row_no").alias("row_key"), F.col("abstract").alias("text"))
@@ -128,6 +144,8 @@ QUERIES = {
     "p1_reasons": p1_reasons,
     "p2_found": p2_found,
     "p2_groups": p2_groups,
+    "p3_found": p3_found,
+    "p3_entities": p3_entities,
     "p4_found": p4_found,
     "p4_normalized": p4_normalized,
     "p5_found": p5_found,
