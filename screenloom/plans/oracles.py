@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from screenloom.plans import verdict_queries
+
+ORACLES: dict[str, str] = {**verdict_queries.ORACLES}

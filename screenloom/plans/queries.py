@@ -6,4 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from screenloom.plans import verdict_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**verdict_queries.QUERIES}
