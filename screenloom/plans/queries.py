@@ -6,6 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from screenloom.plans import verdict_queries
+from screenloom.plans import reference_queries, verdict_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**verdict_queries.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**verdict_queries.QUERIES, **reference_queries.QUERIES}
