@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from screenloom.functions import keys
 
@@ -69,7 +70,7 @@ def ris_lines(records: DataFrame, default_type: str = "JOUR") -> DataFrame:
     return records.select("row_no", F.concat_ws("\n", line("TY", kind), line("T1", F.col("title")), line("PY", F.col("year")), line("AB", abstract), line("DO", doi), line("U1", F.col("record_id")), F.lit("ER  - ")).alias("ris"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest-matching-blocks ratio of two keys; 0 if one is blank. Arrow batches."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a.fillna(""), b.fillna(""), strict=True)])
