@@ -13,11 +13,10 @@ from screenloom.functions import keys
 
 
 def _kept(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """First row of each key; rows with a blank key stay. The first is found by a combined minimum, not a window, so a
-    key with a third of all rows costs its tasks nothing."""
-    keyed = df.withColumn("_k", key)
-    first = keyed.filter("_k <> ''").groupBy("_k").agg(F.min(order).alias(order))
-    return keyed.filter("_k = ''").drop("_k").unionByName(keyed.join(first, ["_k", order], "left_semi").drop("_k"))
+    """First row of each key; rows with a blank key stay. One aggregation with a combined minimum instead of a window,
+    so a key with a third of all rows costs no task more than the others."""
+    own = F.when(key != "", F.concat(F.lit("k"), key)).otherwise(F.concat(F.lit("r"), F.col(order).cast("string")))
+    return df.groupBy(own.alias("_k")).agg(F.min_by(F.struct(*df.columns), order).alias("r")).select("r.*")
 
 
 def dedup_stages(records: DataFrame, order: str = "row_no") -> list[DataFrame]:

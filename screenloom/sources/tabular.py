@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -28,7 +29,10 @@ def read_sheet(spark: SparkSession, path: str, header_row: int = 1) -> DataFrame
     if path.lower().endswith(".xlsx"):
         raw = _xlsx(spark, path)
     elif path.lower().endswith(".csv"):
-        lines = spark.read.option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+        top = [r["value"] for r in spark.read.text(path).limit(header_row + 1).collect()]
+        width = len(next(csv.reader(top[-1:]), [])) if len(top) > header_row else 1
+        schema = ", ".join(f"c{k} string" for k in range(max(1, width)))
+        lines = spark.read.schema(schema).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
         raw = lines.select(F.monotonically_increasing_id().alias("ord"), F.array(*lines.columns).alias("cells"))  # one file is one task here
     else:
         raise ValueError(f"neither .csv nor .xlsx: {path}")
@@ -98,8 +102,9 @@ def paired_records(sheet: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines under a schema; blank lines and lines that can't be read are left out."""
-    rows = spark.read.schema(f"{schema}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return rows.filter("_bad IS NULL").drop("_bad")
+    parsed = F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    rows = spark.read.text(path).filter("trim(value) <> ''").select(parsed.alias("r"))
+    return rows.filter("r IS NOT NULL AND r._bad IS NULL").select("r.*").drop("_bad")
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
