@@ -128,7 +128,7 @@ def test_entities(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4)).capitalize()
     fill = [("authors", f"{word()}, {word()}") for _ in range(150)] + [("publication", f"{word()} Letters on {word()} Health") for _ in range(150)]  # rarity needs a collection
-    rows = fill + [("authors", n) for n in people] + [("publication", n) for n in papers] + [("authors", None), ("authors", " "), ("publication", "???"), ("authors", LONG[:3000])]
+    rows = fill + [("authors", n) for n in people] + [("publication", n) for n in [*papers, papers[0], papers[0]]] + [("authors", None), ("authors", " "), ("publication", "???"), ("authors", LONG[:3000])]
     found = names.entities(spark.createDataFrame([(*r, 1) for r in rows], "field string, name string, class int"))
     got = {(r["field"], frozenset((r["name_a"], r["name_b"]))) for r in names.spelling_pairs(found).collect()}
     want = {("authors", frozenset((a, b))) for g in (people[:4], people[4:6]) for a in g for b in g if a != b}
