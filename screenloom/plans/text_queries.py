@@ -128,6 +128,15 @@ def _reasons(c: str) -> str:
     return f"coalesce(nullif(concat_ws(';', {cases}), ''), 'other')"
 
 
+
+
+def _cut(limit: int) -> str:
+    head = f"substr(text, 1, {limit})"
+    page = f"(CASE WHEN strpos(reverse({head}), chr(10) || chr(12) || chr(10)) > 0 THEN length({head}) - strpos(reverse({head}), chr(10) || chr(12) || chr(10)) - 2 END)"
+    line = f"(CASE WHEN strpos(reverse({head}), chr(10) || chr(10)) > 0 THEN length({head}) - strpos(reverse({head}), chr(10) || chr(10)) - 1 END)"
+    return f"CASE WHEN length(text) <= {limit} THEN text ELSE substr(text, 1, CASE WHEN {page} >= {limit * 0.8} THEN {page} WHEN {line} >= {limit * 0.8} THEN {line} ELSE {limit} END) END"
+
+
 _H10 = "cast('0x' || substr(md5(record_id || '|' || model || '|' || c), 1, 4) AS bigint) % 10"
 _CODES = ", ".join(f"'{c}'" for c in panel.HASH_CODES)
 
@@ -137,6 +146,11 @@ ORACLES = {
         h < 4 AND NOT (h IN (0, 1) AND code IS NULL AND dec IS NULL) AS ok FROM c),
       e AS (SELECT *, CASE lower(regexp_replace(x, '^\\s+|\\s+$', '', 'g')) {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in res.CODE_ALIASES.items())} END AS renamed FROM d)
       SELECT result_id, ok AS parsed, CASE WHEN ok THEN coalesce(renamed, x) ELSE 'INCLUDE_TA' END AS screening_code, CASE WHEN NOT ok OR renamed = 'INCLUDE_TA' THEN 'INCLUDE' WHEN renamed IS NOT NULL THEN 'EXCLUDE' WHEN h < 2 AND dec IN ('INCLUDE', 'EXCLUDE') THEN dec WHEN x IS NOT NULL THEN 'EXCLUDE' END AS screening_decision FROM e""",
+    "quote_fragments": r"""WITH q AS (SELECT result_id, supporting_quote AS t, list_transform(regexp_extract_all(supporting_quote, '"((?:\\.|[^"\\])*)(?:"|$)', 1), lambda x: regexp_replace(x, '\\(.)', '\1', 'g')) AS p FROM results),
+      f AS (SELECT result_id, list_filter(CASE WHEN t IS NULL OR upper(trim(t)) IN ('NA', '') THEN [] WHEN len(p) > 0 THEN p ELSE [trim(trim(t), '"')] END, lambda x: x <> '') AS l FROM q)
+      SELECT result_id, cast(pos - 1 AS int) AS pos, l[pos] AS fragment FROM (SELECT result_id, l, unnest(range(1, len(l) + 1)) AS pos FROM f)""",
+    "truncate_text": f"SELECT doc_id, {_cut(1000)} AS text FROM documents",
+    "text_quality_audit": f"SELECT * FROM (SELECT doc_id, CASE WHEN coalesce(length(text), 0) = 0 THEN 'missing' WHEN length(text) < 200 THEN 'low_text' WHEN length(text) > 1500 THEN 'truncated' END AS reason, length(text) AS n, length({_cut(1500)}) AS kept FROM documents) WHERE reason IS NOT NULL",
     "criteria_first_fail": f"""WITH r AS (SELECT DISTINCT record_id, model FROM results), o(i, c) AS (VALUES (1, 'population'), (2, 'study_design'), (3, 'intervention'), (4, 'outcome')),
       x AS (SELECT record_id, model, i, c, {_H10} AS h FROM r, o), f AS (SELECT record_id, model, min(i) FILTER (WHERE h IN (0, 1)) AS fail, min(i) FILTER (WHERE h IN (2, 5, 9)) AS doubt, count(*) FILTER (WHERE h < 9) AS n FROM x GROUP BY 1, 2)
       SELECT record_id, model, c AS failed, CASE WHEN fail IS NULL THEN 'INCLUDE' ELSE 'EXCLUDE' END AS decision, doubt IS NOT NULL AND (fail IS NULL OR doubt < fail) AS needs_second_opinion FROM f LEFT JOIN o ON i = fail WHERE n > 0""",
