@@ -24,16 +24,20 @@ def json_object(raw: Column) -> Column:
     return F.when(F.is_variant_null(F.try_parse_json(body)).isNotNull() & (F.json_array_length(body).isNull()) & (F.size(F.json_object_keys(body)) > 0), body)
 
 
-def field(body: Column, name: str) -> Column:
+def fields(body: Column) -> Column:
+    """All fields of an object as texts, parsed once; objects within stay JSON."""
+    return F.from_json(body, "map<string,string>")
+
+
+def field(own: Column, name: str) -> Column:
     """A field under its own name, or the first alias with a value; its own name wins even if it holds null."""
-    own = F.array_contains(F.json_object_keys(body), name)
-    aliases = [F.nullif(F.get_json_object(body, f"$.{a}"), F.lit("")) for a in FIELD_ALIASES[name]]
-    return F.when(own, F.get_json_object(body, f"$.{name}")).otherwise(F.coalesce(*aliases))
+    aliases = [F.nullif(own[a], F.lit("")) for a in FIELD_ALIASES[name]]
+    return F.when(F.map_contains_key(own, name), own[name]).otherwise(F.coalesce(*aliases))
 
 
-def _trace(body: Column) -> Column:
+def _trace(own: Column) -> Column:
     """Trace entries in the order of their keys; null if the trace is no object."""
-    part = F.coalesce(F.get_json_object(body, "$.hierarchical_trace"), F.get_json_object(body, "$.trace"))
+    part = F.coalesce(own["hierarchical_trace"], own["trace"])
     return F.when(part.startswith("{"), F.array_sort(F.map_entries(F.from_json(part, TRACE))))
 
 
@@ -49,7 +53,7 @@ def repaired(raw: DataFrame, text: str = "raw") -> DataFrame:
     that fails with a usable code decides, else the record stays in. Unparsable responses stay in too and are flagged:
     a failure never excludes.
     """
-    df = raw.withColumn("_b", json_object(F.col(text))).withColumn("_t", _trace(F.col("_b")))
+    df = raw.withColumn("_b", fields(json_object(F.col(text)))).withColumn("_t", _trace(F.col("_b")))
     code, decision = field(F.col("_b"), "screening_code"), field(F.col("_b"), "screening_decision")
     binary = F.coalesce(decision.isin("INCLUDE", "EXCLUDE"), F.lit(False))
     given = F.coalesce(F.nullif(code, F.lit("")), F.when(~binary, F.nullif(decision, F.lit(""))))
@@ -72,7 +76,7 @@ def repaired(raw: DataFrame, text: str = "raw") -> DataFrame:
 def trace_checks(raw: DataFrame, text: str = "raw") -> DataFrame:
     """Machine checks of a trace: verdicts known, criteria after the first failure not evaluated, a failure has a code, a pass
     has a quote, the code is that of the first failure."""
-    df = raw.withColumn("_b", json_object(F.col(text))).withColumn("_t", _trace(F.col("_b"))).filter("_t IS NOT NULL")
+    df = raw.withColumn("_b", fields(json_object(F.col(text)))).withColumn("_t", _trace(F.col("_b"))).filter("_t IS NOT NULL")
     verdicts = F.transform("_t", lambda e: F.upper(e["value"]["verdict"]))
     first = F.array_position(verdicts, "FAIL")
     after = F.when(first > 0, F.slice(verdicts, (first + 1).cast("int"), F.size(verdicts))).otherwise(F.array().cast("array<string>"))
