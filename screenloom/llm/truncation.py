@@ -25,6 +25,11 @@ STOPS = frozenset(".!?…")
 #: What may follow a cut: marks of an ellipsis or a note, and closing quotes or braces.
 MARK = re.compile(r"(?:\s*(?:\.{3,}|…|\[\s*(?:truncated|cut|more|abridged|\.{3}|…)\s*\]|\((?:truncated|cut|more)\)))+[\s\"'”’}\]]*$", re.I)
 CLOSERS = re.compile(r"[\s\"”’}]+$")
+#: A tag that is never closed (only its name, or with a first attribute) is a mark; a whole line break is one where no
+#: full stop stands before it; an end tag is layout.
+BROKEN_TAG = re.compile(r"</?(?:[a-z][a-z0-9]{0,9}(?:\s[^<>]*=[^<>]*)?\s*/?)?\s*$", re.I)
+BREAK_TAG = re.compile(r"<(?:br|p|hr|div)\s*/?>\s*$", re.I)
+END_TAG = re.compile(r"</[a-z][a-z0-9]{0,9}\s*>\s*$", re.I)
 #: Strength (in log odds) of each piece of evidence, and the smoothing of the share of sentence ends.
 CUT_WORD, CUT_LENGTH, CUT_MARK, FULL_STOP, NO_SIGN = 9.5, 2.5, 2.5, -6.0, -4.0
 SMOOTH, PRIOR = 2.0, 0.15
@@ -37,11 +42,16 @@ LIMIT_TEXTS, LIMIT_TIMES, LIMIT_REACH = 4, 6.0, 10
 def tail_parts(text: str) -> tuple[list[str], bool, bool]:
     """The tokens of a text without what follows a cut, whether a mark followed, and whether it ends with a stop.
 
-    The beginning of a character entity is a mark, too: only a cut leaves one.
+    The beginning of a character entity or of a tag is a mark, too: only a cut leaves one.
     """
-    found = MARK.search(text)
-    mark = found is not None
-    core = CLOSERS.sub("", text[: found.start()] if found else text)
+    core, mark, line_break = text, False, False
+    while (found := MARK.search(core) or BROKEN_TAG.search(core) or BREAK_TAG.search(core) or END_TAG.search(core)) is not None:
+        if BREAK_TAG.match(found[0]):
+            line_break = True
+        elif not END_TAG.match(found[0]):
+            mark = True
+        core = core[: found.start()]
+    core = CLOSERS.sub("", core)
     if ENTITY.search(core):
         mark, core = True, ENTITY.sub("", core)
     tokens = ["#" if t[0].isdigit() else t for t in TOKEN.findall(core.lower())]
@@ -49,7 +59,7 @@ def tail_parts(text: str) -> tuple[list[str], bool, bool]:
     while tokens and tokens[-1][0] in STOPS:
         tokens.pop()
         stop = True
-    return tokens, mark, stop
+    return tokens, mark or (line_break and not stop), stop
 
 
 def _hash3(a: str, b: str, c: str) -> int:

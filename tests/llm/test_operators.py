@@ -189,6 +189,18 @@ def test_truncation(spark):
     assert truncation.judged(spark.createDataFrame([], "field string, row_key bigint, source string, text string")).count() == 0
 
 
+def test_broken_tags_are_marks(spark):
+    for end in ("<br", "<br ", "</", "<", "<br/", '<span class="x', "<br>", "<br...", "...<br"):
+        assert truncation.tail_parts(f"Each session was rated by two indep{end}") == ("each session was rated by two indep".split(), True, False), end
+    assert truncation.tail_parts("It was rated.<br>")[1:] == truncation.tail_parts("<p>It was rated.</p>")[1:] == (False, True)
+    assert truncation.tail_parts("It was rated with p < 0.05")[1] is truncation.tail_parts("The <i>aim</i> was met")[1] is False
+    rng = random.Random(2)
+    full = [f"The study looked at {rng.choice(['nurses', 'drivers'])} with {rng.choice(['anxiety', 'burnout'])}. Each session was rated by two independent observers." for _ in range(300)]
+    rows = [("f", k, "s", t) for k, t in enumerate(full)] + [("f", 1000 + k, "s", f"{full[k][: -12 - k]}<br") for k in range(30)]
+    found = {r["row_key"]: r["cut"] for r in truncation.judged(spark.createDataFrame(rows, "field string, row_key bigint, source string, text string")).collect()}
+    assert all(found[1000 + k] for k in range(30)) and not any(found[k] for k in range(300))
+
+
 # ---- tokenization ----
 def test_tokens_round_trip(spark):
     texts = ["Hello world", "", None, "naïve 抑郁 🙂\x00\t", "<|endoftext|>", "ｆｕｌｌ é", "a" * 5000, LONG]
