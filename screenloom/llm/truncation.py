@@ -1,6 +1,7 @@
 """Texts cut off by field limits or in transfer.
 
-One scan counts, over the whole corpus, which words follow each other and where sentences end. The words after
+One scan counts, over the different texts of the corpus, which words follow each other and where sentences end. Copies
+of a text count once, so that they can't vouch for each other's end. The words after
 each word form a trie: a final word that is rare there, while longer words it begins are common, was cut. Where
 the final word is whole, the share of its last words' occurrences that end a sentence tells whether the sentence
 is complete. Lengths at which a source's texts stop unfinished again and again, and marks of a cut, are further evidence.
@@ -67,10 +68,17 @@ def _hash3(a: str, b: str, c: str) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _last_sentence(tokens: list[str]) -> int:
+    """Hash of the tokens after the last full stop within the text."""
+    begin = max((k + 1 for k, t in enumerate(tokens) if t[0] in STOPS), default=0)
+    value = xxhash.xxh64_intdigest(" ".join(tokens[begin:]))
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
 def scanned(texts: DataFrame) -> DataFrame:
-    """One pass over (field, row_key, source, text): a row per text with its tail, and pre-aggregated counts of
+    """One pass over different texts (h1, h2, text): a row per text with its tail, and pre-aggregated counts of
     pairs and threes of words with how many of them end a sentence."""
-    kinds = [("field", pa.string()), ("row_key", pa.int64()), ("source", pa.string()), ("length", pa.int64()), ("mark", pa.bool_()), ("stop", pa.bool_()), ("w1", pa.string()), ("w2", pa.string()), ("three", pa.int64()), ("n_all", pa.int64()), ("n_end", pa.int64())]
+    kinds = [("h1", pa.int64()), ("h2", pa.int64()), ("mark", pa.bool_()), ("stop", pa.bool_()), ("w1", pa.string()), ("w2", pa.string()), ("three", pa.int64()), ("last", pa.int64()), ("n_all", pa.int64()), ("n_end", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,12 +87,12 @@ def scanned(texts: DataFrame) -> DataFrame:
             flow: list[int] = []
             ends: list[bool] = []
             tails = []
-            for field, key, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for h1, h2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens, mark, stop = tail_parts(text)
                 if not tokens:
                     continue
                 own = ["", "", *tokens]
-                tails.append((field, key, source, len(text), mark, stop, own[-1], own[-2], _hash3(own[-3], own[-2], own[-1]), None, None))
+                tails.append((h1, h2, mark, stop, own[-1], own[-2], _hash3(own[-3], own[-2], own[-1]), _last_sentence(tokens), None, None))
                 codes = [0, 0]
                 for t in tokens:
                     k = ids.get(t)
@@ -98,8 +106,8 @@ def scanned(texts: DataFrame) -> DataFrame:
             yield _batch(tails, kinds)
             yield from _counted(np.array(flow, dtype=np.int64), np.array(ends, dtype=bool), ["", *names], kinds)
 
-    schema = "field string, row_key bigint, source string, length bigint, mark boolean, stop boolean, w1 string, w2 string, three bigint, n_all bigint, n_end bigint"
-    return texts.select("field", F.col("row_key").cast("bigint"), "source", "text").filter("text IS NOT NULL").mapInArrow(run, schema)
+    schema = "h1 bigint, h2 bigint, mark boolean, stop boolean, w1 string, w2 string, three bigint, last bigint, n_all bigint, n_end bigint"
+    return texts.select("h1", "h2", "text").mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], kinds: list[tuple]) -> pa.RecordBatch:
@@ -132,7 +140,8 @@ def _counted(flow: np.ndarray, ends: np.ndarray, names: list[str], kinds: list[t
 
 
 def limits(tails: DataFrame) -> DataFrame:
-    """(field, source, length): lengths at which texts of a source stop without a full stop far more often than around them."""
+    """(field, source, length): lengths at which different texts of a source stop without a full stop far more often than
+    around them. ``tails``: (field, source, length, h1, h2, stop), a row per different text of a source."""
     counts = tails.filter("NOT stop").groupBy("field", "source", "length").agg(F.count("*").alias("n"))
     near = counts.select("field", "source", "n", F.explode(F.sequence(F.col("length") - LIMIT_REACH, F.col("length") + LIMIT_REACH)).alias("length"))
     around = near.groupBy("field", "source", "length").agg(F.sum("n").alias("around"))
@@ -147,7 +156,10 @@ def judged(texts: DataFrame) -> DataFrame:
     Null texts, empty ones and texts without a word or sign have no row and are never cut. Equal texts of one
     source are judged alike. A source that is null is a source of its own.
     """
-    rows = stage(scanned(texts.withColumn("source", F.coalesce("source", F.lit("")))))
+    present = texts.filter("text IS NOT NULL")
+    both = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")]  # 128 bits stand for the text
+    keyed = stage(present.select("field", F.col("row_key").cast("bigint").alias("row_key"), F.coalesce("source", F.lit("")).alias("source"), F.length("text").cast("bigint").alias("length"), *both))
+    rows = stage(scanned(present.select("text").distinct().select(*both, "text")))
     tails = rows.filter("n_all IS NULL").drop("n_all", "n_end")
     pairs = stage(rows.filter("w1 IS NOT NULL AND n_all IS NOT NULL").groupBy("w2", "w1").agg(F.sum("n_all").alias("a2"), F.sum("n_end").alias("e2")))
     threes = rows.filter("w1 IS NULL").groupBy("three").agg(F.sum("n_all").alias("a3"), F.sum("n_end").alias("e3"))
@@ -158,19 +170,26 @@ def judged(texts: DataFrame) -> DataFrame:
     nodes = longer.select("w2", "a2", F.explode(F.transform(F.sequence(F.lit(1), F.length("w1") - 1), lambda n: F.substring("w1", F.lit(1), n))).alias("w1"))
     trie = nodes.join(final, ["w2", "w1"], "left_semi").groupBy("w2", "w1").agg(F.sum("a2").alias("longer"))
     seen = tails.join(threes, "three", "left").join(pairs, ["w2", "w1"], "left").join(words, "w1", "left").join(trie, ["w2", "w1"], "left")
-    seen = seen.join(limits(tails), ["field", "source", "length"], "left")
     share, most = F.lit(PRIOR), F.lit(0.0)
-    for n in (1, 2, 3):  # without the text's own end, which is counted too
-        share = (F.greatest(F.coalesce(f"e{n}", F.lit(1)) - 1, F.lit(0)) + SMOOTH * share) / (F.greatest(F.coalesce(f"a{n}", F.lit(1)) - 1, F.lit(0)) + SMOOTH)
+    same = tails.filter("NOT stop").groupBy("last").agg(F.count("*").alias("same"))
+    seen = seen.join(same, "last", "left")
+    # without the text's own end; where sentences go on, texts that stop within the same sentence are no evidence for each other
+    own_end = F.when((F.col("a3") > F.col("e3")) & ~F.col("stop"), F.coalesce("same", F.lit(1))).otherwise(F.lit(1))
+    for n in (1, 2, 3):
+        share = (F.greatest(F.coalesce(f"e{n}", F.lit(1)) - own_end, F.lit(0)) + SMOOTH * share) / (F.greatest(F.coalesce(f"a{n}", F.lit(1)) - own_end, F.lit(0)) + SMOOTH)
         most = F.greatest(most, share)
     share = F.when(F.col("stop") & ~F.col("mark"), most).otherwise(share)  # a full stop needs one context that allows it
     share = F.least(F.greatest(share, F.lit(0.0005)), F.lit(0.9995))
     cut_word = (F.coalesce("longer", F.lit(0)) >= LONGER_SEEN) & (F.coalesce("a2", F.lit(0)) <= CUT_SHARE * F.col("longer") + 1)
     sign = F.when(F.col("mark"), CUT_MARK).when(F.col("stop"), FULL_STOP).otherwise(0.0)
+    logit = -F.log(share / (1 - share)) + F.when(cut_word, CUT_WORD).otherwise(0.0) + sign
+    rated = stage(seen.select("h1", "h2", "mark", "stop", logit.alias("logit")))
+    own = keyed.join(rated, ["h1", "h2"])
+    of_source = keyed.select("field", "source", "length", "h1", "h2").distinct().join(rated.select("h1", "h2", "stop"), ["h1", "h2"])
+    own = own.join(limits(of_source), ["field", "source", "length"], "left")
     at_limit = F.coalesce("at_limit", F.lit(False)) & ~F.col("stop")
-    score = -F.log(share / (1 - share)) + F.when(cut_word, CUT_WORD).otherwise(0.0) + F.when(at_limit, CUT_LENGTH).otherwise(0.0) + sign
-    score = score + F.when(~at_limit & ~F.col("mark") & ~F.col("stop"), NO_SIGN).otherwise(0.0)
-    return seen.select("field", "row_key", "source", F.round(score, 6).alias("score"), (score > 0).alias("cut"))
+    score = F.col("logit") + F.when(at_limit, CUT_LENGTH).otherwise(0.0) + F.when(~at_limit & ~F.col("mark") & ~F.col("stop"), NO_SIGN).otherwise(0.0)
+    return own.select("field", "row_key", "source", F.round(score, 6).alias("score"), (score > 0).alias("cut"))
 
 
 def rates(found: DataFrame) -> DataFrame:

@@ -201,6 +201,18 @@ def test_broken_tags_are_marks(spark):
     assert all(found[1000 + k] for k in range(30)) and not any(found[k] for k in range(300))
 
 
+def test_copies_of_a_cut_text_do_not_vouch_for_it(spark):
+    rng = random.Random(2)
+    full = [f"The study {rng.choice('abcdefgh') * 3} looked at {rng.choice(['nurses', 'drivers'])} with {rng.choice(['anxiety', 'burnout'])}. Each session was rated by two independent observers." for _ in range(300)]
+    rows = [("f", k, "s", t) for k, t in enumerate(full)]
+    word, sentence, whole = full[0][:-5], "Nobody knew it. Each session was rated by two", "All was well. Each session was rated by two independent observers"
+    for copies in (1, 150):
+        more = [("f", 1000 * n + k, f"s{k % 3}", t) for n, t in enumerate((word, sentence, whole), 1) for k in range(copies)]
+        found = {r["row_key"]: r["cut"] for r in truncation.judged(spark.createDataFrame(rows + more, "field string, row_key bigint, source string, text string")).collect()}
+        assert all(found[1000 + k] and found[2000 + k] and not found[3000 + k] for k in range(copies)), copies
+        assert not any(found[k] for k in range(300)) and len(found) == 300 + 3 * copies
+
+
 # ---- tokenization ----
 def test_tokens_round_trip(spark):
     texts = ["Hello world", "", None, "naïve 抑郁 🙂\x00\t", "<|endoftext|>", "ｆｕｌｌ é", "a" * 5000, LONG]
