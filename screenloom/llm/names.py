@@ -9,6 +9,7 @@ so no group is ever collected.
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -221,15 +222,16 @@ def links(vecs: DataFrame) -> DataFrame:
     return full.drop("class_a", "class_b").mapInArrow(run, "a bigint, b bigint, likeness double")
 
 
-def average_linkage(found: DataFrame, counts: DataFrame, least: float = MIN_LINKAGE, rounds: int = 60) -> DataFrame:
+def average_linkage(found: DataFrame, counts: DataFrame, least: float = MIN_LINKAGE, rounds: int | None = None) -> DataFrame:
     """(class, group) of every class with a link. Groups merge while their average likeness is at least ``least``:
     the average over all pairs of occurrences (``counts``: class, n), pairs without a link counting as 0. Mutual best neighbours merge together in a round, which gives the same
-    groups as one merge at a time, as average linkage is reducible; ties go to the smaller ids."""
+    groups as one merge at a time, as average linkage is reducible; ties go to the smaller ids. Rounds go on until
+    none merges; each round with a merge leaves fewer groups, so they end. If ``rounds`` is given and runs out, it raises."""
     weighed = found.join(counts.select(F.col("class").alias("a"), F.col("n").alias("na")), "a").join(counts.select(F.col("class").alias("b"), F.col("n").alias("nb")), "b")
     edges = cut(weighed.select("a", "b", (F.col("likeness") * F.col("na") * F.col("nb")).alias("s")))
     linked = edges.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     groups = cut(linked.join(counts, "class").select("class", F.col("class").alias("group"), "n"))
-    for _ in range(rounds):
+    for done in itertools.count():
         sizes = groups.groupBy("group").agg(F.sum("n").alias("n"))
         scored = edges.join(sizes.select(F.col("group").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("group").alias("b"), F.col("n").alias("nb")), "b")
         scored = scored.select("a", "b", F.round(F.col("s") / (F.col("na") * F.col("nb")), 9).alias("avg")).filter(F.col("avg") >= least)
@@ -239,6 +241,8 @@ def average_linkage(found: DataFrame, counts: DataFrame, least: float = MIN_LINK
         merges = cut(best.groupBy("rank").agg(F.count("*").alias("sides")).filter("sides = 2").select((-F.col("rank.x")).alias("keep"), (-F.col("rank.y")).alias("gone")))
         if merges.isEmpty():
             break
+        if done == rounds:
+            raise RuntimeError(f"groups still merge after {rounds} rounds")
         to = merges.select(F.col("gone").alias("group"), "keep")
         groups = cut(groups.join(to, "group", "left").select("class", F.coalesce("keep", "group").alias("group"), "n"))
         new = edges.join(merges.select(F.col("gone").alias("a"), F.col("keep").alias("ka")), "a", "left").join(merges.select(F.col("gone").alias("b"), F.col("keep").alias("kb")), "b", "left")

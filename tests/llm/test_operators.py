@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from screenloom.llm import abuse, blocking, characters, consensus, leakage, names, nearduplicates, sketches, titles, tokenization, truncation
@@ -137,6 +138,15 @@ def test_entities(spark):
     assert names.spelling_pairs(names.entities(spark.createDataFrame([], "field string, name string"))).count() == 0
 
 
+def test_linkage_never_stops_unfinished(spark):
+    n = 6  # each round merges one class with the hub
+    found = spark.createDataFrame([(a, b, 1 - 0.005 * b) for b in range(n) for a in range(b)], "a bigint, b bigint, likeness double").coalesce(1)
+    counts = spark.range(n).select(F.col("id").alias("class"), F.lit(1).cast("bigint").alias("n")).coalesce(1)
+    assert {tuple(r) for r in names.average_linkage(found, counts).select("class", "group").collect()} == {(k, 0) for k in range(n)}
+    with pytest.raises(RuntimeError):
+        names.average_linkage(found, counts, rounds=2)
+
+
 # ---- characters ----
 def test_consistent_form(spark):
     cases = {"ｆｕｌｌ １": "full 1", "ﬁt": "fit", "café": "café", "a​b": "ab", "a b": "a b", "pаper": "paper", "𝐛𝐨𝐥𝐝": "bold", "　": " "}
