@@ -1,9 +1,12 @@
 """New batches against all accepted history: a segment index for titles within a bounded edit distance.
 
-A title of length l is cut into SEGMENTS fixed segments, kept by (l, number, text). Two titles within TAU
-edits agree in at least SHARED of them, so a new title probes, for each length within TAU, the substrings
-near each segment's place; titles that share SHARED entries are candidates and are verified. A batch adds its own segments afterwards;
-the history's titles are not read again, only the index entries that a probe meets.
+A title of length l is cut into SEGMENTS fixed segments, known by (l, number, text). A title within TAU edits
+(insertions, deletions, substitutions; a swap of neighbours is two) leaves SHARED segments whole, so three of them at once are
+the join key: single segments ("costs and effects of") are shared by too many. The history keeps the threes of its titles. A
+new title probes, for each length within TAU, the substrings near each segment's place; those that may be in the history, by
+a filter of fixed size, are put together in threes. Titles that share one are candidates and are verified.
+Afterwards the batch's own threes, words and ids are appended. Nothing is computed again for the history: a batch
+reads the narrow columns that it is joined with, and what it is told depends on earlier batches and itself only.
 """
 
 from __future__ import annotations
@@ -11,19 +14,26 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
+from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenloom.session import stage
+from screenloom.session import ensure_checkpoint_dir, stage
 
-TAU = 4
-#: Titles are joined on SHARED entries at once, not on one: a single segment ("costs and effects of") is shared by too many.
+TAU = 5
 SHARED = 3
 SEGMENTS = TAU + SHARED
+#: Short titles may differ by one edit per so many characters, at most.
+CHARS_PER_EDIT = 5
+#: Bits of either filter, of entries and of threes: a fixed 8 MB each. A full filter lets more through, never less.
+FILTER_BITS = 26
 #: Two spellings are both words of their own if each stands in so many titles and they are about as frequent.
 OWN_WORD_TITLES, OWN_WORD_RATIO = 3, 0.02
 
@@ -38,9 +48,8 @@ NUMBERS = frozenset(
     "one two three four five six seven eight nine ten eleven twelve first second third fourth fifth sixth "
     "i ii iii iv v vi vii viii ix x baseline midline endline".split()
 )
-# Words that make a bracket at the end part of what a title says, and words used for each other.
+# Words that make a bracket at the end part of what a title says.
 TELLING = frozenset("part phase stage wave follow followup baseline endline protocol correction erratum reply comment year month series volume".split())
-SAME_WORDS = {"trial": "study", "trials": "studies", "elderly": "older"}
 # Endings and stems that differ between British and American spelling.
 SPELLINGS = ((r"is(e|ed|es|ing|ation|ations)$", r"iz\1"), (r"ll(ing|ed|er|ers|or|ors)$", r"l\1"), (r"our(s|al|ally|ed|ing)?$", r"or\1"), (r"mmes?$", "m"), (r"tre(s?)$", r"ter\1"), (r"^(p)ae(d)", r"\1e\2"), (r"^gynae", "gyne"), (r"oe(d|s)", r"e\1"))
 _SPELLINGS = tuple((re.compile(a), b) for a, b in SPELLINGS)
@@ -50,7 +59,7 @@ def _word(word: str) -> str:
     for pattern, to in _SPELLINGS:
         if len(word) > 5:
             word = pattern.sub(to, word)
-    return SAME_WORDS.get(word, word)
+    return word
 
 
 def _untagged(text: str) -> str:
@@ -72,9 +81,8 @@ def _plain(text: str) -> str:
 def title_forms(title: str | None) -> list[str]:
     """The title without differences of writing, in canonical order of its two halves and in the other.
 
-    Markup, tags in brackets at the end, case, accents, punctuation, articles, British or American spelling
-    and the choice between words used for each other go. A
-    title that is null, blank, 'NA' or has no words has no form and equals nothing.
+    Markup, tags in brackets at the end, case, accents, punctuation, articles and British or American spelling go.
+    A title that is null, blank, 'NA' or has no words has no form and equals nothing.
     """
     text = _untagged(_TAG.sub("", html.unescape(title or "")))
     if text.strip().upper() in ("", "NA"):
@@ -98,37 +106,134 @@ def segment_spans(length: int) -> list[tuple[int, int]]:
     return spans
 
 
-def _entry(length: int, number: int, text: str) -> int:
-    value = xxhash.xxh64_intdigest(f"{length}|{number}|{text}")
-    return value - (1 << 64) if value >= 1 << 63 else value
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: list[np.ndarray] = []
+_OWN_THREES = np.array(list(combinations(range(SEGMENTS), 3)))
 
 
-def index_entries(form: str) -> Iterator[tuple[int, int, int]]:
-    """(length, number, entry) of a title's own segments; empty segments of very short titles match all of their kind."""
-    n = len(form)
-    for k, (at, size) in enumerate(segment_spans(n)):
-        yield n, k, _entry(n, k, form[at : at + size])
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Finaliser of the public splitmix64 generator."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def probe_entries(form: str) -> Iterator[tuple[int, int, int]]:
-    """(length, number, entry) of all index entries that a title within TAU edits can share with this one."""
-    n = len(form)
-    for length in range(max(1, n - TAU), n + TAU + 1):
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, n + 1 of each at least."""
+    if not _POWERS or len(_POWERS[0]) <= n:
+        size = max(1024, 2 * n)
+        _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size, b, dtype=np.uint64))), dtype=np.uint64) for b in (_BASE, _INVERSE)]
+    return _POWERS
+
+
+def _substrings(text: str, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of substrings, by differences of one running sum."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+    up, down = _powers(len(codes))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(codes * down[1 : len(codes) + 1], dtype=np.uint64)))
+    return (sums[start + size] - sums[start]) * up[start + size]
+
+
+def edits_allowed(length: int) -> int:
+    """Edits by which a title may differ from one that is not shorter."""
+    return min(TAU, length // CHARS_PER_EDIT)
+
+
+@lru_cache(maxsize=2_048)
+def _own_plan(n: int) -> tuple[np.ndarray, ...]:
+    """(start, size, salt) of the segments of a title of length n; salt tells length and number."""
+    spans = np.array(segment_spans(n), dtype=np.int64)
+    return spans[:, 0], spans[:, 1], np.array([n * 64 + k for k in range(SEGMENTS)], dtype=np.uint64) * np.uint64(_BASE)
+
+
+@lru_cache(maxsize=2_048)
+def _probe_plan(n: int) -> tuple[np.ndarray, ...]:
+    """(start, size, salt, length, number) of all substrings that may be whole segments of a title within TAU edits."""
+    rows = []
+    for length in range(max(SEGMENTS, n - TAU), n + TAU + 1):
         delta = n - length
         before, after = (TAU - delta) // 2, (TAU + delta) // 2
         for k, (at, size) in enumerate(segment_spans(length)):
-            for start in range(max(0, at - before), min(n - size, at + after) + 1):
-                yield length, k, _entry(length, k, form[start : start + size])
+            rows += [(start, size, length * 64 + k, length, k) for start in range(max(0, at - before), min(n - size, at + after) + 1)]
+    plan = np.array(rows, dtype=np.int64).reshape(-1, 5)
+    return plan[:, 0], plan[:, 1], plan[:, 2].astype(np.uint64) * np.uint64(_BASE), plan[:, 3], plan[:, 4]
+
+
+def _join_three(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return _mix(_mix(_mix(a) + b) + c)
+
+
+def own_entries(form: str) -> np.ndarray:
+    """The index entries of a title's segments; a title of fewer characters than segments has none: it only equals others."""
+    if len(form) < SEGMENTS:
+        return np.empty(0, dtype=np.uint64)
+    start, size, salt = _own_plan(len(form))
+    return _mix(_substrings(form, start, size) + salt)
+
+
+def own_threes(form: str) -> np.ndarray:
+    """The join keys of a title of the history: all threes of its segments."""
+    e = own_entries(form)
+    return _join_three(*(e[_OWN_THREES[:, k]] for k in range(3))) if len(e) else e
+
+
+class Filter:
+    """Which entries and threes a history may hold: two bit fields of fixed size, of 64-bit words."""
+
+    KINDS = 2
+
+    def __init__(self) -> None:
+        self.words = np.zeros((self.KINDS, 1 << (FILTER_BITS - 6)), dtype=np.uint64)
+
+    @staticmethod
+    def places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, bit) of each key."""
+        place = keys >> np.uint64(64 - FILTER_BITS)
+        return (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
+
+    def add(self, kind: int, keys: np.ndarray) -> None:
+        word, bit = self.places(keys)
+        np.bitwise_or.at(self.words[kind], word, bit)
+
+    def may_hold(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        word, bit = self.places(keys)
+        return (self.words[kind][word] & bit) != 0
+
+
+def probe_threes(form: str, known: Filter) -> np.ndarray:
+    """The threes of a history that a title may share: those of titles within TAU edits, less what the filter rules out."""
+    if edits_allowed(len(form)) == 0:
+        return np.empty(0, dtype=np.uint64)
+    start, size, salt, length, number = _probe_plan(len(form))
+    entries = _mix(_substrings(form, start, size) + salt)
+    at = np.nonzero(known.may_hold(0, entries))[0]
+    found = []
+    for n in np.unique(length[at]):
+        here = at[length[at] == n]
+        own, where = np.unique(entries[here], return_index=True)
+        k = number[here][where]
+        if len(np.unique(k)) < SHARED:
+            continue
+        by_number = np.argsort(k, kind="stable")
+        own, k = own[by_number], k[by_number]
+        a, b, c = np.array(list(combinations(range(len(own)), 3))).T
+        apart = (k[a] < k[b]) & (k[b] < k[c])
+        found.append(_join_three(own[a[apart]], own[b[apart]], own[c[apart]]))
+    keys = np.unique(np.concatenate(found)) if found else np.empty(0, dtype=np.uint64)
+    return keys[known.may_hold(1, keys)]
 
 
-def edit_distance(a: str, b: str, most: int) -> int:
-    """Edit distance with transpositions of neighbours, or most + 1 if it is larger."""
+def edit_distance(a: str, b: str, most: int, swap: int = 1) -> int:
+    """Edit distance in which a swap of neighbours costs ``swap``, or most + 1 if it is larger."""
     if abs(len(a) - len(b)) > most:
         return most + 1
-    while a and b and a[0] == b[0]:
-        a, b = a[1:], b[1:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+    begin, end = 0, 0
+    while begin < min(len(a), len(b)) and a[begin] == b[begin]:
+        begin += 1
+    while end < min(len(a), len(b)) - begin and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[begin : len(a) - end], b[begin : len(b) - end]
     earlier: list[int] = []
     last = list(range(len(b) + 1))
     for i in range(1, len(a) + 1):
@@ -136,9 +241,9 @@ def edit_distance(a: str, b: str, most: int) -> int:
         for j in range(max(1, i - most), min(len(b), i + most) + 1):
             cost = min(last[j - 1] + (a[i - 1] != b[j - 1]), last[j] + 1, row[j - 1] + 1)
             if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                cost = min(cost, earlier[j - 2] + 1)
+                cost = min(cost, earlier[j - 2] + swap)
             row[j] = cost
-        if min(row) > most:
+        if min(row) > most and (swap == 2 or not earlier or min(last) > most):
             return most + 1
         earlier, last = last, row
     return min(last[-1], most + 1)
@@ -147,17 +252,14 @@ def edit_distance(a: str, b: str, most: int) -> int:
 def _slip(a: str, b: str) -> bool:
     if any(c.isdigit() for c in a + b) or a in NUMBERS or b in NUMBERS:
         return False
-    for p in (a, *(old for old, new in SAME_WORDS.items() if new == a)):
-        for q in (b, *(old for old, new in SAME_WORDS.items() if new == b)):
-            short = min(len(p), len(q))
-            if edit_distance(p, q, 2) <= (0 if short < 3 else 1 if short < 6 else 2):
-                return True
-    return False
+    short = min(len(a), len(b))
+    return edit_distance(a, b, 2) <= (0 if short < 3 else 1 if short < 6 else 2)
 
 
 def word_slips(a: str, b: str) -> list[tuple[str, str]] | None:
     """The pairs of words in which two forms differ, if each may be a slip; None if they say something else."""
-    if edit_distance(a, b, TAU) > TAU:
+    most = edits_allowed(min(len(a), len(b)))
+    if edit_distance(a, b, most, swap=2) > most:
         return None
     x, y = a.split(), b.split()
     while x and y and x[0] == y[0]:
@@ -193,56 +295,66 @@ def with_forms(rows: DataFrame, title_col: str = "title") -> DataFrame:
     return rows.select(F.col(title_col).alias("title")).filter("title IS NOT NULL").distinct().mapInArrow(run, "title string, form string, other string").filter("form IS NOT NULL").withColumn("class", F.xxhash64("form"))
 
 
-def _entries(classes: DataFrame, make, columns: list[str]) -> DataFrame:
-    """(class, length, number, entry) of each title form, by ``make``."""
+def threes_of(classes: DataFrame) -> DataFrame:
+    """(class, three): the join keys of title classes (class, form)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows = [], []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for own in {e for form in row[1:] if form for e in make(form)}:
-                    keys.append(row[0])
-                    rows.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int8(), pa.int64())))], names=["class", "length", "number", "entry"])
+            keys = [own_threes(f) for f in batch.column(1).to_pylist()]
+            yield _keyed(batch.column(0), keys, "class")
 
-    return classes.select("class", *columns).mapInArrow(run, "class bigint, length int, number tinyint, entry bigint")
+    return classes.select("class", "form").mapInArrow(run, "class bigint, three bigint")
 
 
-def index_of(classes: DataFrame) -> DataFrame:
-    """Index rows of title classes (class, form)."""
-    return _entries(classes, index_entries, ["form"])
+def probes_of(classes: DataFrame, known: Filter) -> DataFrame:
+    """(probe, three) of title classes (class, form, other): both orders of the halves probe. Each row is a key that the filter may hold."""
+    shared = classes.sparkSession.sparkContext.broadcast(known)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.unique(np.concatenate([probe_threes(f or "", shared.value) for f in own])) for own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield _keyed(batch.column(0), keys, "probe")
 
-def probes_of(classes: DataFrame) -> DataFrame:
-    """Probe rows of title classes (class, form, other): both orders of the halves probe."""
-    return _entries(classes, probe_entries, ["form", "other"])
+    return classes.select("class", "form", "other").mapInArrow(run, "probe bigint, three bigint")
 
 
-def candidates(probes: DataFrame, index: DataFrame) -> DataFrame:
-    """Distinct (probe, known) classes that share SHARED index entries.
+def _keyed(ids: pa.Array, keys: list[np.ndarray], name: str) -> pa.RecordBatch:
+    many = np.array([len(k) for k in keys], dtype=np.int64)
+    flat = np.concatenate(keys).view(np.int64) if len(keys) else np.empty(0, dtype=np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids.to_numpy(), many), pa.int64()), pa.array(flat, pa.int64())], names=[name, "three"])
 
-    Titles within TAU edits do, so nothing is lost and nothing is capped. Probes that meet no entry go first;
-    what a class has left at a length is a handful of entries, and its threes are the join key. A key with
-    many titles is one for titles that agree in nearly half of their text; its rows are split by the
-    adaptive skew join.
-    """
-    seen = probes.join(index.select("entry").distinct(), "entry", "left_semi").withColumnRenamed("class", "probe")
 
-    def threes(rows: DataFrame, key: str) -> DataFrame:
-        found = rows.groupBy(key, "length").agg(F.collect_set(F.struct("number", "entry")).alias("own")).filter(F.size("own") >= SHARED)
-        first = found.select(key, "own", F.explode("own").alias("x"))
-        second = first.select(key, "own", "x", F.explode("own").alias("y")).filter("x.number < y.number")
-        third = second.select(key, "x", "y", F.explode("own").alias("z")).filter("y.number < z.number")
-        return third.select(key, F.xxhash64("x.entry", "y.entry", "z.entry").alias("three"))
+def filter_words(classes: DataFrame) -> DataFrame:
+    """(kind, word, bits): what title classes add to the filter; at most its size, whatever their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = batch.column(0).to_pylist()
+            kinds, words, bits = [], [], []
+            for kind, make in enumerate((own_entries, own_threes)):
+                keys = np.concatenate([make(f) for f in forms] or [np.empty(0, dtype=np.uint64)])
+                word, bit = Filter.places(keys)
+                own, where = np.unique(word, return_inverse=True)
+                merged = np.zeros(len(own), dtype=np.uint64)
+                np.bitwise_or.at(merged, where, bit)
+                kinds.append(np.full(len(own), kind))
+                words.append(own)
+                bits.append(merged.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in ((kinds, pa.int32()), (words, pa.int32()), (bits, pa.int64()))], names=["kind", "word", "bits"])
+
+    return classes.select("form").mapInArrow(run, "kind int, word int, bits bigint").groupBy("kind", "word").agg(F.bit_or("bits").alias("bits"))
+
 
-    known = threes(index.withColumnRenamed("class", "known"), "known")
-    return threes(seen, "probe").join(known, "three").filter("probe <> known").select("probe", "known").distinct()
+def candidates(probes: DataFrame, threes: DataFrame) -> DataFrame:
+    """Distinct (probe, known) classes that share a three. Titles within TAU edits do, so nothing is lost and nothing is capped. A key with
+    many titles is one for titles that agree in nearly half of their text; its rows are split by the adaptive skew join."""
+    return probes.join(threes.withColumnRenamed("class", "known"), "three").filter("probe <> known").select("probe", "known").distinct()
 
 
-def verified(pairs: DataFrame, probe_classes: DataFrame, known_classes: DataFrame, titles: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, probe_classes: DataFrame, known_classes: DataFrame, counts: DataFrame) -> DataFrame:
     """The candidate pairs (probe, known) that are the same title but for slips.
 
-    ``titles`` holds a form per title of the whole collection: a pair of spellings that are both words of
+    ``counts``: (word, n) with the number of titles of each word so far: a pair of spellings that are both words of
     their own there tells two publications apart.
     """
 
@@ -264,75 +376,95 @@ def verified(pairs: DataFrame, probe_classes: DataFrame, known_classes: DataFram
     likely = stage(texts.select("probe", "known", "form", "other", "against").mapInArrow(run, "probe bigint, known bigint, slips array<struct<a:string,b:string>>"))
     slips = likely.select("probe", "known", F.explode("slips").alias("s")).select("probe", "known", "s.a", "s.b")
     wanted = slips.select(F.explode(F.array("a", "b")).alias("word")).distinct()
-    counts = titles.select(F.explode(F.array_distinct(F.split("form", " "))).alias("word")).join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
-    counted = slips.join(counts.select(F.col("word").alias("a"), F.col("n").alias("na")), "a", "left").join(counts.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b", "left")
+    own = counts.join(wanted, "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = slips.join(own.select(F.col("word").alias("a"), F.col("n").alias("na")), "a", "left").join(own.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b", "left")
     low, high = F.least(F.coalesce("na", F.lit(0)), F.coalesce("nb", F.lit(0))), F.greatest(F.coalesce("na", F.lit(0)), F.coalesce("nb", F.lit(0)))
     told = counted.filter((low >= OWN_WORD_TITLES) & (low >= OWN_WORD_RATIO * high)).select("probe", "known").distinct()
     return likely.select("probe", "known").join(told, ["probe", "known"], "left_anti")
 
 
-def already_there(rows: DataFrame) -> DataFrame:
-    """(row_no, by_id, by_title): rows whose publication stands in a row of an earlier batch.
-
-    Replays all batches at once: a class of equal forms carries the earliest batch it stands in, and a row is
-    found if its record_id, its class or a class within TAU edits stands in a smaller batch_no. Null
-    record_ids and missing titles equal nothing; repeats within one batch alone don't count; rows with a null
-    batch_no are never found and accept nothing.
-    """
-    base = rows.select("row_no", "record_id", "title", "batch_no").filter("batch_no IS NOT NULL")
-    ids = base.filter("record_id IS NOT NULL").groupBy("record_id").agg(F.min("batch_no").alias("id_batch"))
-    forms = stage(with_forms(base))
-    batches = base.filter("title IS NOT NULL").groupBy("title").agg(F.min("batch_no").alias("lo"), F.max("batch_no").alias("hi"))
-    classes = stage(forms.join(batches, "title").groupBy("class").agg(F.first("form").alias("form"), F.first("other").alias("other"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    pairs = candidates(probes_of(classes), index_of(classes))
-    pairs = pairs.join(classes.select(F.col("class").alias("probe"), "hi"), "probe").join(classes.select(F.col("class").alias("known"), "lo"), "known").filter("lo < hi").select("probe", "known")
-    links = verified(pairs, classes, classes, classes)
-    near = links.join(classes.select(F.col("class").alias("known"), "lo"), "known").groupBy("probe").agg(F.min("lo").alias("near"))
-    first = classes.join(near.withColumnRenamed("probe", "class"), "class", "left").select("class", F.least("lo", "near").alias("title_batch"))
-    by_title = forms.join(first, "class").select("title", "title_batch")
-    found = base.join(ids, "record_id", "left").join(by_title, "title", "left")
-    by_id = F.coalesce(F.col("id_batch") < F.col("batch_no"), F.lit(False))
-    by_text = F.coalesce(F.col("title_batch") < F.col("batch_no"), F.lit(False))
-    return found.select("row_no", by_id.alias("by_id"), by_text.alias("by_title")).filter("by_id OR by_title")
-
-
 class TitleHistory:
-    """The accepted history as files: classes of titles, their index entries and the accepted record_ids.
+    """The accepted history as files: classes of titles, their threes and words, filters and the accepted record_ids.
 
     ``accept`` answers for one new batch and appends it. Each accepted batch writes under its own number, so a
-    batch that is tried again replaces its own files and adds nothing twice.
+    batch that is tried again replaces its own files and adds nothing twice. Batches are accepted in rising order.
     """
 
+    TABLES = {
+        "classes": "class bigint, form string, batch int",
+        "threes": "class bigint, three bigint, batch int",
+        "words": "word string, n bigint, batch int",
+        "filters": "kind int, word int, bits bigint, batch int",
+        "ids": "record_id string, batch int",
+    }
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self._filter: Filter | None = None
+        self._filter_before = -1
 
-    def _read(self, name: str, schema: str, batch_no: int) -> DataFrame:
+    def _read(self, name: str, batch_no: int) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}").filter(F.col("batch") < batch_no)
+            return self.spark.read.schema(self.TABLES[name]).parquet(f"{self.path}/{name}").filter(F.col("batch") < batch_no)
         except Exception as error:  # no batch accepted so far
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], self.TABLES[name])
+
+    def _known_filter(self, batch_no: int) -> Filter:
+        """What batches before this one hold; read from the files unless the last accepted one is at hand."""
+        if self._filter is None or self._filter_before > batch_no:
+            self._filter = Filter()
+            self._learn(self._read("filters", batch_no).groupBy("kind", "word").agg(F.bit_or("bits").alias("bits")))
+        self._filter_before = batch_no
+        return self._filter
+
+    def _learn(self, words: DataFrame) -> None:
+        found = words.select("kind", "word", "bits").toArrow()  # at most the filter's fixed size
+        kind, word, bits = (found.column(k).to_numpy() for k in range(3))
+        np.bitwise_or.at(self._filter.words, (kind, word), bits.view(np.uint64))
 
     def accept(self, batch: DataFrame, batch_no: int) -> DataFrame:
         """(row_no, by_id, by_title) of the batch's rows that are already there; then appends the batch."""
-        known = self._read("classes", "class bigint, form string, batch int", batch_no)
-        index = self._read("entries", "class bigint, length int, number tinyint, entry bigint, batch int", batch_no)
-        ids = self._read("ids", "record_id string, batch int", batch_no)
+        known, threes = self._read("classes", batch_no), self._read("threes", batch_no)
+        ids, words = self._read("ids", batch_no), self._read("words", batch_no)
         base = batch.select("row_no", "record_id", "title")
         forms = stage(with_forms(base))
-        classes = stage(forms.groupBy("class").agg(F.first("form").alias("form"), F.first("other").alias("other")))
-        words = known.select("class", "form").unionByName(classes.select("class", "form")).dropDuplicates(["class"])
-        links = verified(candidates(probes_of(classes), index.drop("batch")), classes, known, words)
-        equal = classes.join(known.select("class"), "class", "left_semi").select("class")
-        hit = links.select(F.col("probe").alias("class")).unionByName(equal).distinct()
-        titles = forms.join(hit, "class", "left_semi").select("title", F.lit(True).alias("by_title"))
-        old = ids.select("record_id", F.lit(True).alias("by_id"))
-        found = base.join(old, "record_id", "left").join(titles, "title", "left").select("row_no", F.coalesce("by_id", F.lit(False)).alias("by_id"), F.coalesce("by_title", F.lit(False)).alias("by_title")).filter("by_id OR by_title")
-        found = stage(found)
-        new = classes.join(known.select("class"), "class", "left_anti")
-        new = stage(new.select("class", "form"))
+        own = forms.groupBy("class").agg(F.first("form").alias("form"), F.first("other").alias("other"))
+        classes = stage(own.join(known.select("class", F.lit(True).alias("equal")), "class", "left"))
+        fresh = classes.filter("equal IS NULL")
+        new_words = fresh.select(F.explode(F.array_distinct(F.split("form", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
         new_ids = base.select("record_id").filter("record_id IS NOT NULL").distinct().join(ids.select("record_id"), "record_id", "left_anti")
-        for name, rows in (("ids", new_ids), ("entries", index_of(new)), ("classes", new)):
-            rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch_no}")
+        probes = probes_of(fresh, self._known_filter(batch_no))
+        new = {"words": new_words, "ids": new_ids, "filters": filter_words(fresh), "threes": threes_of(fresh), "classes": fresh.select("class", "form")}
+        with ThreadPoolExecutor(len(new)) as pool:  # the appends run beside the answer, which reads earlier batches only
+            writes = [pool.submit(rows.write.mode("overwrite").parquet, f"{self.path}/{name}/batch={batch_no}") for name, rows in new.items()]
+            links = verified(candidates(probes, threes.select("class", "three")), fresh, known, words.select("word", "n").unionByName(new_words))
+            hit = links.select(F.col("probe").alias("class")).unionByName(classes.filter("equal").select("class")).distinct()
+            titles = forms.join(hit, "class", "left_semi").select("title", F.lit(True).alias("by_title"))
+            old = ids.select("record_id", F.lit(True).alias("by_id"))
+            found = base.join(old, "record_id", "left").join(titles, "title", "left").select("row_no", F.coalesce("by_id", F.lit(False)).alias("by_id"), F.coalesce("by_title", F.lit(False)).alias("by_title"))
+            found = stage(found.filter("by_id OR by_title"))
+            for write in writes:
+                write.result()
+        self._learn(self.spark.read.parquet(f"{self.path}/filters/batch={batch_no}"))
         return found
+
+
+def already_there(rows: DataFrame) -> DataFrame:
+    """(row_no, by_id, by_title): rows whose publication stands in a row of an earlier batch.
+
+    Gives the batches to a history of its own, one after the other: a row is found if its record_id, its form or
+    a form within the allowed edits stands in an accepted batch. Null record_ids and missing titles equal nothing; repeats
+    within one batch alone don't count; rows with a null batch_no are never found and accept nothing.
+    """
+    spark = rows.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/titles-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    history, found = TitleHistory(spark, path), None
+    base = rows.select("row_no", "record_id", "title", "batch_no")
+    for number in sorted(r[0] for r in base.filter("batch_no IS NOT NULL").select("batch_no").distinct().collect()):
+        part = history.accept(base.filter(F.col("batch_no") == number), number)
+        found = part if found is None else found.unionByName(part)
+    return found if found is not None else spark.createDataFrame([], "row_no bigint, by_id boolean, by_title boolean")

@@ -98,20 +98,52 @@ def test_batches_against_history(spark, tmp_path):
     assert titles.already_there(df.limit(0)).count() == 0
 
 
+def _edited(rng, text, edits):
+    w = list(text)
+    for _ in range(edits):
+        k = rng.randrange(len(w) - 1)
+        rng.choice((lambda: w.__setitem__(k, "z"), lambda: w.insert(k, "y"), lambda: w.pop(k), lambda: w.__setitem__(slice(k, k + 2), w[k : k + 2][::-1])))()  # noqa: B023
+    return "".join(w)
+
+
+def _plain_distance(a, b):
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1))
+        last = row
+    return last[-1]
+
+
 def test_segment_join_loses_no_close_title(spark):
     rng = random.Random(3)
-    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(30, 60))).strip() for _ in range(30)]
-    forms = list(base)
-    for t in base:
-        w = list(t)
-        for _ in range(rng.randrange(1, 5)):
-            k = rng.randrange(len(w))
-            rng.choice((lambda: w.__setitem__(k, "z"), lambda: w.insert(k, "y"), lambda: w.pop(k)))()
-        forms.append("".join(w))
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(9, 60))).strip() for _ in range(40)] + ["cohort study with rural weavers in the far north of " + w for w in "ab cd ef gh".split()]
+    forms = list(dict.fromkeys([*base, *(_edited(rng, t, rng.randrange(1, 4)) for t in base for _ in range(3)), "", "abc", "abd", "word " * 5000, "word " * 4999 + "wrod "]))
     df = spark.createDataFrame([(k, f, None) for k, f in enumerate(forms)], "class bigint, form string, other string")
-    got = {tuple(sorted(r)) for r in titles.candidates(titles.probes_of(df), titles.index_of(df)).collect()}
-    close = {(a, b) for a in range(60) for b in range(a + 1, 60) if titles.edit_distance(forms[a], forms[b], 4) <= 4 and sum(x != y for x, y in zip(forms[a], forms[b], strict=False)) >= 0 and forms[a] != forms[b]}
-    assert len(close) >= 25 and close <= got
+    known = titles.Filter()
+    for r in titles.filter_words(df).collect():
+        known.words[r["kind"], r["word"]] |= np.int64(r["bits"]).view(np.uint64)
+    threes = titles.threes_of(df)
+    close = {(a, b) for a in range(len(forms)) for b in range(len(forms)) if a != b and len(forms[a]) < 999 and len(forms[b]) < 999 and _plain_distance(forms[a], forms[b]) <= titles.edits_allowed(min(len(forms[a]), len(forms[b])))}
+    close |= {(len(forms) - 2, len(forms) - 1), (len(forms) - 1, len(forms) - 2)}
+    full = titles.Filter()
+    full.words[:] = ~np.uint64(0)
+    for own in (known, full):  # a full filter loses nothing either
+        got = {tuple(r) for r in titles.candidates(titles.probes_of(df, own), threes).collect()}
+        assert len(close) >= 200 and close <= got
+    for a, b in close:  # a swap counts as two edits
+        if len(forms[a]) < 999:
+            assert titles.edit_distance(forms[a], forms[b], 5, swap=2) == _plain_distance(forms[a], forms[b])
+
+
+def test_history_reads_itself_again(spark, tmp_path):
+    df = _records(spark)
+    one, other = titles.TitleHistory(spark, str(tmp_path / "a")), titles.TitleHistory(spark, str(tmp_path / "b"))
+    for b in range(3):
+        want = {tuple(r) for r in one.accept(df.filter(F.col("batch_no") == b), b).collect()}
+        got = {tuple(r) for r in titles.TitleHistory(spark, other.path).accept(df.filter(F.col("batch_no") == b), b).collect()}
+        assert got == want  # a new process knows what the files tell
 
 
 # ---- names ----
