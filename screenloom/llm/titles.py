@@ -15,6 +15,7 @@ import html
 import re
 import unicodedata
 import uuid
+import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
@@ -22,6 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,6 +188,12 @@ class Filter:
     def __init__(self) -> None:
         self.words = np.zeros((self.KINDS, 1 << (FILTER_BITS - 6)), dtype=np.uint64)
 
+    def __getstate__(self) -> bytes:
+        return zlib.compress(self.words.tobytes(), 1)  # nearly empty ones travel small
+
+    def __setstate__(self, state: bytes) -> None:
+        self.words = np.frombuffer(zlib.decompress(state), dtype=np.uint64).reshape(self.KINDS, -1)
+
     @staticmethod
     def places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word, bit) of each key."""
@@ -306,9 +314,9 @@ def threes_of(classes: DataFrame) -> DataFrame:
     return classes.select("class", "form").mapInArrow(run, "class bigint, three bigint")
 
 
-def probes_of(classes: DataFrame, known: Filter) -> DataFrame:
-    """(probe, three) of title classes (class, form, other): both orders of the halves probe. Each row is a key that the filter may hold."""
-    shared = classes.sparkSession.sparkContext.broadcast(known)
+def probes_of(classes: DataFrame, shared: Broadcast) -> DataFrame:
+    """(probe, three) of title classes (class, form, other): both orders of the halves probe. Each row is a key that the
+    filter (a broadcast Filter) may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -435,7 +443,8 @@ class TitleHistory:
         fresh = classes.filter("equal IS NULL")
         new_words = fresh.select(F.explode(F.array_distinct(F.split("form", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
         new_ids = base.select("record_id").filter("record_id IS NOT NULL").distinct().join(ids.select("record_id"), "record_id", "left_anti")
-        probes = probes_of(fresh, self._known_filter(batch_no))
+        shared = self.spark.sparkContext.broadcast(self._known_filter(batch_no))
+        probes = probes_of(fresh, shared)
         new = {"words": new_words, "ids": new_ids, "filters": filter_words(fresh), "threes": threes_of(fresh), "classes": fresh.select("class", "form")}
         with ThreadPoolExecutor(len(new)) as pool:  # the appends run beside the answer, which reads earlier batches only
             writes = [pool.submit(rows.write.mode("overwrite").parquet, f"{self.path}/{name}/batch={batch_no}") for name, rows in new.items()]
@@ -447,6 +456,7 @@ class TitleHistory:
             found = stage(found.filter("by_id OR by_title"))
             for write in writes:
                 write.result()
+        shared.destroy()  # the answer is written
         self._learn(self.spark.read.parquet(f"{self.path}/filters/batch={batch_no}"))
         return found
 

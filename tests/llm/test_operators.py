@@ -130,7 +130,7 @@ def test_segment_join_loses_no_close_title(spark):
     full = titles.Filter()
     full.words[:] = ~np.uint64(0)
     for own in (known, full):  # a full filter loses nothing either
-        got = {tuple(r) for r in titles.candidates(titles.probes_of(df, own), threes).collect()}
+        got = {tuple(r) for r in titles.candidates(titles.probes_of(df, spark.sparkContext.broadcast(own)), threes).collect()}
         assert len(close) >= 200 and close <= got
     for a, b in close:  # a swap counts as two edits
         if len(forms[a]) < 999:
