@@ -36,6 +36,8 @@ SEGMENTS = TAU + SHARED
 CHARS_PER_EDIT = 5
 #: Bits of either filter, of entries and of threes: a fixed 8 MB each. A full filter lets more through, never less.
 FILTER_BITS = 26
+#: Appends that run at once, beside the answer.
+WRITERS = 2
 #: Two spellings are both words of their own if each stands in so many titles and they are about as frequent.
 OWN_WORD_TITLES, OWN_WORD_RATIO = 3, 0.02
 
@@ -446,7 +448,7 @@ class TitleHistory:
         shared = self.spark.sparkContext.broadcast(self._known_filter(batch_no))
         probes = probes_of(fresh, shared)
         new = {"words": new_words, "ids": new_ids, "filters": filter_words(fresh), "threes": threes_of(fresh), "classes": fresh.select("class", "form")}
-        with ThreadPoolExecutor(len(new)) as pool:  # the appends run beside the answer, which reads earlier batches only
+        with ThreadPoolExecutor(WRITERS) as pool:  # the appends run beside the answer, which reads earlier batches only
             writes = [pool.submit(rows.write.mode("overwrite").parquet, f"{self.path}/{name}/batch={batch_no}") for name, rows in new.items()]
             links = verified(candidates(probes, threes.select("class", "three")), fresh, known, words.select("word", "n").unionByName(new_words))
             hit = links.select(F.col("probe").alias("class")).unionByName(classes.filter("equal").select("class")).distinct()
@@ -457,6 +459,7 @@ class TitleHistory:
             for write in writes:
                 write.result()
         shared.destroy()  # the answer is written
+        self.spark._jvm.System.gc()  # what the driver holds of this batch goes, with its shuffle files and broadcasts
         self._learn(self.spark.read.parquet(f"{self.path}/filters/batch={batch_no}"))
         return found
 
