@@ -11,8 +11,8 @@ PUBLISHERS = {
     "10.1093": "Oxford UP", "10.3233": "IOS Press", "10.1089": "Mary Ann Liebert", "10.1159": "Karger", "10.2196": "JMIR", "10.1186": "BMC",
 }
 RIS_TYPES = {
-    "JOUR": "JOUR", "JOURNAL": "JOUR", "ARTICLE": "JOUR", "EJOUR": "JOUR", "BOOK": "BOOK", "CHAP": "CHAP", "CHAPTER": "CHAP",
-    "THES": "THES", "THESIS": "THES", "CONF": "CONF", "ELEC": "ELEC", "GEN": "GEN", "RPRT": "RPRT", "REPORT": "RPRT",
+    "JOUR": "JOUR", "JOURNAL": "JOUR", "ARTICLE": "JOUR", "BOOK": "BOOK", "CHAP": "CHAP", "CHAPTER": "CHAP",
+    "THES": "THES", "THESIS": "THES", "CONF": "CONF", "ELEC": "ELEC", "EJOUR": "JOUR", "GEN": "GEN", "RPRT": "RPRT", "REPORT": "RPRT",
 }
 DESIGN_WORDS = ("narrative review", "letter", "protocol", "commentary", "editorial", "cross-sectional", "case report", "case-control", "cohort study", "primary study")
 
@@ -98,6 +98,7 @@ def url_host(c: Column) -> Column:
     return F.coalesce(F.replace(F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)), F.lit("www."), F.lit("")), F.lit(""))
 
 
+# The patterns of addresses and DOIs below.
 def citation_pdf_url(html: Column) -> Column:
     """Address in the meta tag citation_pdf_url, in either order of its attributes; null if there is none."""
     quote = "[\"']"
@@ -114,6 +115,44 @@ def pdf_links(html: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda u: F.replace(u, F.lit("&amp;"), F.lit("&"))))
 
 
+def absolute_url(link: Column, page: Column) -> Column:
+    """A link as seen from a page: with a scheme as it is, '//' under the page's scheme, '/' under its host, else under its folder."""
+    base = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
+    folder = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/(?:[^?#]*/)?)", 1)
+    within = F.when(folder != "", folder).otherwise(F.concat(base, F.lit("/")))
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), link))
+        .when(link.startswith("/"), F.concat(base, link))
+        .otherwise(F.concat(within, link))
+    )
+
+
+def page_pdf_links(html: Column, page: Column) -> Column:
+    """As ``pdf_links``, then files of a repository that have no ending; absolute, each once, in order."""
+    stored = F.regexp_extract_all(html, F.lit("(?i)(https?://iris\\.who\\.int/server/api/core/bitstreams/[0-9a-fA-F-]+/content)"), 1)
+    return F.array_distinct(F.transform(F.concat(pdf_links(html), stored), lambda u: absolute_url(u, page)))
+
+
+def derived_pdf_urls(url: Column, doi: Column, html: Column) -> Column:
+    """Addresses of the PDF file that follow from a landing page's own address: by publisher, the page's meta tag, and a DOI in its path."""
+    base = F.regexp_extract(url, r"^([^/]+//[^/]+)", 1)
+    plain = F.regexp_replace(url, r"/+$", "")
+    direct = F.concat(base, F.lit("/doi/pdf/"), doi, F.lit("?download=true"))
+    wiley = [F.concat(F.lit(f"https://onlinelibrary.wiley.com/doi/{kind}/"), doi, F.lit("?download=true")) for kind in ("pdfdirect", "pdf")]
+    own = (
+        F.when(url.contains("wiley.com"), F.array(*wiley))
+        .when(url.contains("sagepub.com") | url.contains("tandfonline.com"), F.array(direct))
+        .when(url.contains("springer.com"), F.array(F.concat(F.lit("https://link.springer.com/content/pdf/"), doi, F.lit(".pdf"))))
+        .when(url.contains("jmir.org"), F.array(F.concat(plain, F.lit("/PDF"))))
+        .when(url.contains("mdpi.com"), F.array(F.concat(plain, F.lit("/pdf"))))
+        .otherwise(F.array().cast("array<string>"))
+    )
+    within = F.nullif(F.regexp_extract(url, r"/doi/(?:abs|full|epdf)?/?(10\.\d+/[^\s?#\"']+)", 1), F.lit(""))
+    path = F.concat(base, F.lit("/doi/pdfdirect/"), within, F.lit("?download=true"))
+    return F.array_distinct(F.array_compact(F.concat(own, F.array(absolute_url(citation_pdf_url(html), url), path))))
+
+
 def dois_in(text: Column) -> Column:
     """DOIs in a text in lower case, each once, without punctuation after them."""
     found = F.regexp_extract_all(text, F.lit("(?i)(10\\.\\d{4,9}/[^\\s\"'<>)\\]}]+)"), 1)

@@ -12,12 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONGEST_FRAGMENT, MOST_WINDOWS, LIKENESS = 200, 500, 0.90
-# Sequences left by a wrong reading of UTF-8, and what they stood for. Those whose second or third
-# character changes under compatibility composition can't occur after it and are left out.
+# Sequences left by a wrong reading of UTF-8, and what they stood for. Five can't occur after
+# compatibility composition, which changes their second or third character.
 MOJIBAKE = {
-    "â€œ": '"', "â€\u009d": '"', "â€“": "-", "â€–": "-", "â€”": "-",
-    "Ã©": "é", "Ã¢": "â", "Ã¶": "ö", "Ã±": "ñ",
-}
+    "\u00e2\u20ac\u2122": "'",
+    "\u00e2\u20ac\u02dc": "'",
+    "\u00e2\u20ac\u0153": '"',
+    "\u00e2\u20ac\u009d": '"',
+    "\u00e2\u20ac\u201c": "-",
+    "\u00e2\u20ac\u2013": "-",
+    "\u00e2\u20ac\u201d": "-",
+    "\u00e2\u20ac\u00a6": "...",
+    "\u00c3\u00a9": "\u00e9",
+    "\u00c3\u00a8": "\u00e8",
+    "\u00c3\u00a0": "\u00e0",
+    "\u00c3\u00a2": "\u00e2",
+    "\u00c3\u00bc": "\u00fc",
+    "\u00c3\u00b6": "\u00f6",
+    "\u00c3\u00b1": "\u00f1",
+}
+# Characters for single quotes and for dashes.
 _SINGLE, _DASH = re.compile("[‘’ʼʹ′`]"), re.compile("[‐‑‒–—―]")
 
 
@@ -73,6 +87,12 @@ def verified(parts: pd.Series, source: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
+@F.pandas_udf(T.BooleanType())
+def verified_plain(parts: pd.Series, plain: pd.Series) -> pd.Series:
+    """As ``verified``, against a source in normal form; a null source holds nothing."""
+    return pd.Series([all(tolerant(normal(f), text or "") for f in (own if own is not None else [])) for own, text in zip(parts, plain, strict=True)], dtype=bool)
+
+
 @F.pandas_udf(T.StringType())
 def clean_extracted(text: pd.Series) -> pd.Series:
     """Text taken from a PDF file without ligatures, marks, words cut at line ends and signs of a wrong reading."""

@@ -87,23 +87,35 @@ def reliability(rows: DataFrame) -> DataFrame:
     return every.join(bins, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"), F.round("p", 6).alias("mean_p"), F.round("y", 6).alias("mean_y"), F.col("p").alias("_p"), F.col("y").alias("_y"))
 
 
+def binned(rows: DataFrame, *by: str) -> DataFrame:
+    """Per bin of the share p, and of other columns: all that metrics are made of, so that they need the rows once only."""
+    error = F.sum((F.col("p") - F.col("y")) ** 2).alias("b")
+    return rows.groupBy(*by, F.least(F.floor(F.col("p") * 10), F.lit(BINS - 1)).alias("bin")).agg(*counts(F.col("predicted"), F.col("y")), F.count("*").alias("n"), F.sum("p").alias("p"), F.sum("y").alias("y"), error)
+
+
+def _ece_brier() -> list[Column]:
+    return [F.round(F.sum(F.abs(F.col("p") - F.col("y"))) / F.sum("n"), 6).alias("ece"), F.round(F.sum("b") / F.sum("n"), 6).alias("brier")]
+
+
+def _cells() -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn", "tn")]
+
+
 def ece_brier(rows: DataFrame) -> DataFrame:
     """Expected calibration error over the bins, Brier score, number of records."""
-    bins = rows.groupBy(F.least(F.floor(F.col("p") * 10), F.lit(BINS - 1)).alias("bin")).agg(F.count("*").alias("n"), F.sum("p").alias("p"), F.sum("y").alias("y"), F.sum((F.col("p") - F.col("y")) ** 2).alias("b"))
-    return bins.agg(F.sum("n").alias("n"), F.round(F.sum(F.abs(F.col("p") - F.col("y"))) / F.sum("n"), 6).alias("ece"), F.round(F.sum("b") / F.sum("n"), 6).alias("brier"))
+    return binned(rows).agg(F.sum("n").alias("n"), *_ece_brier())
 
 
 def calibration(rows: DataFrame) -> DataFrame:
     """One row: confusion, metrics, calibration error, Brier score and whether each threshold is met."""
-    one = confusion(rows).crossJoin(F.broadcast(ece_brier(rows).drop("n")))  # one row each
-    return one.withColumns({"sensitivity_ok": F.col("sensitivity") >= ACCEPT[0], "kappa_ok": F.col("kappa") >= ACCEPT[1], "ece_ok": F.col("ece") <= ACCEPT[2]})
+    one = binned(rows).agg(*_cells(), *_ece_brier())
+    return with_metrics(one).withColumns({"sensitivity_ok": F.col("sensitivity") >= ACCEPT[0], "kappa_ok": F.col("kappa") >= ACCEPT[1], "ece_ok": F.col("ece") <= ACCEPT[2]})
 
 
 def per_model(models: DataFrame, labels: DataFrame) -> DataFrame:
-    """Metrics of each model; its class is the majority decision, not a share of one half."""
-    rows = models.join(truth(labels), "record_id").withColumn("predicted", (F.col("decision") == "INCLUDE").cast("int"))
-    brier = F.round(F.avg((F.col("vote_share_include") - F.col("y")) ** 2), 6).alias("brier")
-    return with_metrics(rows.groupBy("model").agg(*counts(F.col("predicted"), F.col("y")), brier))
+    """Metrics of each model, with its own calibration error; its class is the majority decision, not a share of one half."""
+    rows = models.join(truth(labels), "record_id").withColumns({"predicted": (F.col("decision") == "INCLUDE").cast("int"), "p": F.col("vote_share_include")})
+    return with_metrics(binned(rows, "model").groupBy("model").agg(*_cells(), *_ece_brier()))
 
 
 def inter_model(models: DataFrame, least_common: int = 2) -> DataFrame:
@@ -164,6 +176,14 @@ def distribution(df: DataFrame, column: Column, name: str = "value") -> DataFram
     return df.groupBy(column.alias(name)).agg(F.count("*").alias("n"))
 
 
+def flag_projection(rows: DataFrame, corpus: int) -> DataFrame:
+    """One row from (share) per record, null where no answer is valid: records, flagged ones (any INCLUDE), sure excludes, their rates, and both
+    projected to a corpus of so many records."""
+    one = rows.agg(F.count("*").alias("n"), F.count_if(F.coalesce("share", F.lit(0.0)) > 0).alias("flagged"), F.count_if(F.col("share") == 0).alias("sure_exclude"))
+    rate, sure = F.try_divide("flagged", "n"), F.try_divide("sure_exclude", "n")
+    return one.select("n", "flagged", "sure_exclude", F.round(rate, 6).alias("flag_rate"), F.round(sure, 6).alias("sure_rate"), F.round(rate * corpus).cast("bigint").alias("projected_flags"), F.round(sure * corpus).cast("bigint").alias("projected_sure"))
+
+
 def metrics_of_counts(spark: SparkSession, tp: int, fp: int, fn: int, tn: int) -> DataFrame:
     """The metrics of one given confusion table."""
     return with_metrics(spark.createDataFrame([(tp, fp, fn, tn)], "tp bigint, fp bigint, fn bigint, tn bigint"))

@@ -63,3 +63,8 @@ def files_by_key(files: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """File names joined to items by the part before the first '_'; the exact name wins, then the first by name."""
     owned = files.withColumn(key, F.split_part("file", F.lit("_"), F.lit(1))).join(items.select(key, "expected"), key)
     return best_child(owned, key, [F.col("file") != F.col("expected"), F.col("file")], ["file"])
+
+
+def numbered_all(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows of a report with their place in an order; for tables of groups, which are small: one task orders them."""
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))

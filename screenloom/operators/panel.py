@@ -25,14 +25,25 @@ def hash_panel(requests: DataFrame) -> DataFrame:
 
 
 def screen(requests: DataFrame, screener: Screener, text: str) -> DataFrame:
-    """Raw responses of a screener: any function from a batch with record_id, model, run_idx and the text to strings.
+    """(record_id, model, run_idx, raw, error): raw responses of a screener, any function from a batch with record_id, model,
+    run_idx and the text to strings. A screener that raises is asked once more for each row alone, so that one
+    bad row spoils no others; a row that fails again has the error instead of a response.
 
     An external call must not be repeated: write the result to the runs table before anything reads it, filter
     before and not after it, and keep (record_id, model, run_idx) unique so that a retried task replaces its own rows.
     """
 
+    def asked(batch: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return pd.DataFrame({"raw": list(screener(batch)), "error": None})
+        except Exception as error:  # any failure of the far side
+            if len(batch) == 1:
+                return pd.DataFrame({"raw": [None], "error": [str(error)]})
+            return pd.concat([asked(batch.iloc[k : k + 1]) for k in range(len(batch))])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch[["record_id", "model", "run_idx"]].assign(raw=screener(batch).to_numpy())
+            own = batch[["record_id", "model", "run_idx"]].reset_index(drop=True)
+            yield own.join(asked(batch).reset_index(drop=True)) if len(batch) else own.assign(raw=None, error=None)
 
-    return requests.select("record_id", "model", "run_idx", F.col(text).alias("text")).mapInPandas(run, "record_id string, model string, run_idx int, raw string")
+    return requests.select("record_id", "model", "run_idx", F.col(text).alias("text")).mapInPandas(run, "record_id string, model string, run_idx int, raw string, error string")

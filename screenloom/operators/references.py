@@ -10,26 +10,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from screenloom.functions import keys
+from screenloom.session import stage
 
 
-def _kept(df: DataFrame, key: Column, order: str) -> DataFrame:
+def _kept(df: DataFrame, key: str, order: str) -> DataFrame:
     """First row of each key; rows with a blank key stay. One aggregation with a combined minimum instead of a window,
     so a key with a third of all rows costs no task more than the others."""
-    own = F.when(key != "", F.concat(F.lit("k"), key)).otherwise(F.concat(F.lit("r"), F.col(order).cast("string")))
+    own = F.when(F.col(key) != "", F.concat(F.lit("k"), F.col(key))).otherwise(F.concat(F.lit("r"), F.col(order).cast("string")))
     return df.groupBy(own.alias("_k")).agg(F.min_by(F.struct(*df.columns), order).alias("r")).select("r.*")
 
 
-def dedup_stages(records: DataFrame, order: str = "row_no") -> list[DataFrame]:
-    """The records after each stage: as they are, by id, by DOI, by title. Earlier rows win; a null key is blank."""
-    stages = [records]
-    for key in (F.coalesce(F.trim("record_id"), F.lit("")), keys.doi_key(F.col("doi")), keys.title_key_ascii(F.col("title"))):
-        stages.append(_kept(stages[-1], key, order))
+def _key_stages(records: DataFrame, order: str) -> list[DataFrame]:
+    """The rows after each stage as (order, keys) only: titles and abstracts are never shuffled. Keys are written once."""
+    keyed = {"_id": F.coalesce(F.trim("record_id"), F.lit("")), "_doi": keys.doi_key(F.col("doi")), "_title": keys.title_key_ascii(F.col("title"))}
+    stages = [stage(records.select(order, *[c.alias(n) for n, c in keyed.items()]))]
+    for name in keyed:
+        stages.append(_kept(stages[-1], name, order))
     return stages
 
 
-def dedup_funnel(records: DataFrame) -> DataFrame:
+def dedup_stages(records: DataFrame, order: str = "row_no") -> list[DataFrame]:
+    """The records after each stage: as they are, by id, by DOI, by title. Earlier rows win (``order`` is unique); a null key is blank."""
+    return [records] + [records.join(kept.select(order), order, "left_semi") for kept in _key_stages(records, order)[1:]]
+
+
+def dedup_funnel(records: DataFrame, order: str = "row_no") -> DataFrame:
+    """Rows left after each stage."""
     names = ("raw", "after_id", "after_doi", "after_title")
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("step"), F.lit(name).alias("stage"), "n") for k, (name, df) in enumerate(zip(names, dedup_stages(records), strict=True))]
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("step"), F.lit(name).alias("stage"), "n") for k, (name, df) in enumerate(zip(names, _key_stages(records, order), strict=True))]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -47,10 +55,12 @@ def cascade_lookup(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     """The id of each row (key, doi, url, title) by DOI, else by URL, else by title. ``mapping``: (map_id, doi, url, title, ord).
 
     Presence of a key decides: a DOI that is known with a blank id ends the cascade, and the row is unmatched. Of
-    mapping rows with the same key the last (largest ord) counts. Blank keys match nothing.
+    mapping rows with the same key the last (largest ord) counts. Blank keys match nothing; each gets a value of its own for
+    the join, so that however many there are, they are no hot key.
     """
     made = {"doi": keys.doi_key, "url": keys.url_key, "title": keys.title_key_words}
-    out = rows.withColumns({f"k_{n}": f(F.col(n)) for n, f in made.items()})
+    alone = F.concat(F.lit("\0"), F.xxhash64(*rows.columns).cast("string"))
+    out = rows.withColumns({f"k_{n}": F.when(f(F.col(n)) != "", f(F.col(n))).otherwise(alone) for n, f in made.items()})
     for name, make in made.items():
         side = mapping.withColumn("_k", make(F.col(name))).filter("_k <> ''").groupBy("_k").agg(F.max_by("map_id", "ord").alias(f"id_{name}"), F.lit(True).alias(f"hit_{name}"))
         out = out.join(side, out[f"k_{name}"] == side["_k"], "left").drop("_k")
@@ -76,11 +86,11 @@ def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def best_candidates(rows: DataFrame, candidates: DataFrame, accept: int = 82) -> DataFrame:
-    """Best candidate per row by title ratio and year. ``rows``: (key, title, year); ``candidates``: (key, ord, doi,
-    cand_title, cand_year). Equal years add 5, more than two apart take 15; the first of equals wins; candidates
+    """Best candidate per row by title ratio and year. ``rows``: (key, year); ``candidates``: (key, ord, doi,
+    cand_title, cand_year, ratio). Equal years add 5, more than two apart take 15; the first of equals wins; candidates
     without a DOI and confidence 0 don't count."""
     both = rows.join(candidates, "key").filter("doi IS NOT NULL AND doi <> ''")
-    base = F.round(title_ratio(keys.title_key_untagged(F.col("title")), keys.title_key_untagged(F.col("cand_title"))) * 100).cast("int")
+    base = F.round(F.col("ratio") * 100).cast("int")
     apart = F.abs(F.col("year").try_cast("int") - F.col("cand_year"))
     conf = F.when(apart == 0, F.least(F.lit(100), F.col("base") + 5)).when(apart > 2, F.greatest(F.lit(0), F.col("base") - 15)).otherwise(F.col("base"))
     rated = both.withColumn("base", base).withColumn("conf", conf).filter("conf > 0")

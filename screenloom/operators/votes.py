@@ -130,3 +130,8 @@ def valid_share(rows: DataFrame) -> DataFrame:
     return rows.groupBy("record_id").agg(share.alias("s"), F.count("decision").alias("n_valid"), F.count("*").alias("n_runs")).select(
         "record_id", "n_runs", "n_valid", F.round("s", 6).alias("share"), F.when(F.col("s") >= 0.5, "INCLUDE").when(F.col("s") < 0.5, "EXCLUDE").alias("decision")
     )
+
+
+def agreement_stats(found: DataFrame) -> DataFrame:
+    """One row over all verdicts: how many models agree, disagree, and how many verdicts need a second opinion."""
+    return found.agg(F.count("*").alias("n"), F.count_if("model_agreement").alias("agree"), F.count_if(~F.col("model_agreement")).alias("disagree"), F.count_if("needs_second_opinion").alias("flagged"))

@@ -6,6 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from screenloom.plans import reference_queries, text_queries, verdict_queries
+from screenloom.plans import reference_queries, screening_queries, text_queries, verdict_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**verdict_queries.QUERIES, **reference_queries.QUERIES, **text_queries.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**verdict_queries.QUERIES, **reference_queries.QUERIES, **text_queries.QUERIES, **screening_queries.QUERIES}

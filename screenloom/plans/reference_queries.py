@@ -6,15 +6,21 @@ from pyspark.sql import functions as F
 
 from screenloom.functions import keys
 from screenloom.operators import inventory as inv
+from screenloom.operators import matching
 from screenloom.operators import references as ref
 from screenloom.operators import retrieval as ret
 from screenloom.session import table
 
 
 def _cascade(spark, d):
-    rows = table(spark, d, "library_export").select(F.col("zotero_key").alias("key"), "doi", "url", "title").dropDuplicates(["key", "doi", "url", "title"])
-    mapping = table(spark, d, "records").select(F.col("record_id").alias("map_id"), "doi", F.lit(None).cast("string").alias("url"), "title", F.col("row_no").alias("ord"))
-    return ref.cascade_lookup(rows, mapping)
+    """Library items against records by DOI and title, and against another list that knows items by their address only."""
+    lib = table(spark, d, "library_export")
+    rows = lib.select(F.col("zotero_key").alias("key"), "doi", "url", "title").dropDuplicates(["key", "doi", "url", "title"])
+    none = F.lit(None).cast("string")
+    records = table(spark, d, "records").select(F.col("record_id").alias("map_id"), "doi", none.alias("url"), "title", F.col("row_no").alias("ord"))
+    h = F.conv(F.substring(F.md5("url"), 1, 12), 16, 10).cast("bigint")
+    listed = lib.filter("url <> ''").select(F.concat(F.lit("U"), F.md5("url")).alias("map_id"), none.alias("doi"), F.concat(F.upper("url"), F.lit("//")).alias("url"), none.alias("title"), h.alias("ord")).filter("ord % 3 = 0")
+    return ref.cascade_lookup(rows, records.unionByName(listed))
 
 
 def _pool(spark, d):
@@ -28,12 +34,12 @@ def _top(spark, d):
 
 
 def _candidates(spark, d):
-    """Candidates of a library item: records with the same year and first word of the title."""
-    word = F.substring_index(keys.title_key_untagged(F.col("title")), " ", 2)
-    rows = table(spark, d, "library_export").select(F.col("zotero_key").alias("key"), "title", "year", word.alias("w")).dropDuplicates(["key"])
-    cand = table(spark, d, "records").select(word.alias("w"), F.col("row_no").alias("ord"), keys.doi_key(F.col("doi")).alias("doi"), F.col("title").alias("cand_title"), keys.first_year(F.col("year")).try_cast("int").alias("cand_year"))
-    near = rows.join(cand, (rows["w"] == cand["w"]) & (rows["year"].try_cast("int") == cand["cand_year"])).select("key", "ord", "doi", "cand_title", "cand_year")
-    return ref.best_candidates(rows.select("key", "title", "year"), near)
+    """Candidates of a library item: records with a DOI whose title is like the item's, of any year; the operator rates the years."""
+    rows = table(spark, d, "library_export").groupBy(F.col("zotero_key").alias("key")).agg(F.min(F.struct("title", "year")).alias("x")).select("key", "x.*")
+    cand = table(spark, d, "records").select(F.col("row_no").alias("r"), "title", keys.doi_key(F.col("doi")).alias("doi"), keys.first_year(F.col("year")).try_cast("int").alias("cand_year")).filter("doi <> ''")
+    near = matching.title_pairs(rows.select(F.col("key").alias("l"), "title"), cand.select("r", "title"), 0.6)
+    full = near.join(cand, "r").select(F.col("l").alias("key"), F.col("r").alias("ord"), "doi", F.col("title").alias("cand_title"), "cand_year", "ratio")
+    return ref.best_candidates(rows.select("key", "year"), full)
 
 
 def _html(spark, d):
@@ -105,8 +111,9 @@ c AS (SELECT *, {_ASCII} AS k, row_number() OVER (PARTITION BY {_ASCII} ORDER BY
 d0 AS (SELECT * EXCLUDE (rn, k) FROM c WHERE rn = 1 OR k = '')"""
 _CASCADE = f"""m AS (SELECT record_id, row_no, {_DOI.format(c='doi')} AS kd, {_WORDS} AS kt FROM records),
 md AS (SELECT kd, arg_max(record_id, row_no) AS id FROM m WHERE kd <> '' GROUP BY 1), mt AS (SELECT kt, arg_max(record_id, row_no) AS id FROM m WHERE kt <> '' GROUP BY 1),
-l AS (SELECT DISTINCT zotero_key AS key, doi, url, title, {_DOI.format(c='doi')} AS kd, {_WORDS} AS kt FROM library_export),
-f AS (SELECT l.key, CASE WHEN md.kd IS NOT NULL THEN md.id ELSE mt.id END AS id, CASE WHEN md.kd IS NOT NULL THEN 'doi' WHEN mt.kt IS NOT NULL THEN 'title' END AS how FROM l LEFT JOIN md ON l.kd = md.kd LEFT JOIN mt ON l.kt = mt.kt),
+mu AS (SELECT DISTINCT lower(url) AS ku, 'U' || md5(url) AS id FROM library_export WHERE url <> '' AND cast('0x' || substr(md5(url), 1, 12) AS bigint) % 3 = 0),
+l AS (SELECT DISTINCT zotero_key AS key, doi, url, title, {_DOI.format(c='doi')} AS kd, rtrim(lower(trim(url)), '/') AS ku, {_WORDS} AS kt FROM library_export),
+f AS (SELECT l.key, CASE WHEN md.kd IS NOT NULL THEN md.id WHEN mu.ku IS NOT NULL THEN mu.id ELSE mt.id END AS id, CASE WHEN md.kd IS NOT NULL THEN 'doi' WHEN mu.ku IS NOT NULL THEN 'url' WHEN mt.kt IS NOT NULL THEN 'title' END AS how FROM l LEFT JOIN md ON l.kd = md.kd LEFT JOIN mu ON l.ku = mu.ku LEFT JOIN mt ON l.kt = mt.kt),
 cascade_result AS (SELECT key, nullif(id, '') AS map_id, CASE WHEN coalesce(id, '') <> '' THEN how ELSE 'unmatched' END AS method FROM f)"""
 _BLANK = "coalesce(trim({c}), '') IN ('', 'NA')"
 _Y4 = r"regexp_extract({c}, '(\d{{4}})', 1)"

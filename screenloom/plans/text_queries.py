@@ -12,41 +12,78 @@ from screenloom.operators import triage
 from screenloom.session import table
 
 
+def _pick(names: list[str], shift: int = 0) -> str:
+    """SQL of a field name that rotates with the row."""
+    return f"CASE cast(floor(result_id / 8) AS bigint) % {len(names)} " + " ".join(f"WHEN {(k - shift) % len(names)} THEN '{n}'" for k, n in enumerate(names)) + " END"
+
+
+def _quoted(sql: str) -> str:
+    return f"""coalesce('"' || {sql} || '"', 'null')"""
+
+
+def _pair(name: str, value: str) -> str:
+    return f"""'"' || {name} || '": ' || {value}"""
+
+
+_NAMES = {
+    "code": ["screening_code", "final_code", "code", "exclusion_code", "verdict"],
+    "decision": ["screening_decision", "final_decision", "decision", "exclusion_decision"],
+    "quote": ["supporting_quote", "quote", "evidence_quote", "exclusion_reason"],
+    "explanation": ["explanation", "rationale", "summary", "reasoning", "reason"],
+    "second": ["needs_second_opinion", "flag_for_review", "uncertain"],
+    "confidence": ["confidence", "confidence_level"],
+}
+_FIELDS = " || ', ' || ".join(
+    [
+        _pair(_pick(_NAMES["code"]), _quoted("CASE WHEN result_id % 3 > 0 THEN screening_code WHEN result_id % 9 = 0 THEN ' Retain ' ELSE '' END")),
+        _pair(_pick(_NAMES["code"], 1), _quoted("CASE WHEN result_id % 2 = 0 THEN 'EXCLUDE_CLASH' END")),
+        _pair(_pick(_NAMES["decision"]), _quoted("screening_decision")),
+        _pair(_pick(_NAMES["decision"], 1), "'\"EXCLUDE_SECOND\"'"),
+        _pair(_pick(_NAMES["quote"]), _quoted("CASE WHEN result_id % 5 = 0 THEN 'NA' ELSE 'q' || cast(result_id AS string) END")),
+        _pair(_pick(_NAMES["quote"], 1), "'\"other quote\"'"),
+        _pair(_pick(_NAMES["explanation"]), _quoted("CASE WHEN result_id % 4 > 0 THEN 'e' || cast(result_id AS string) END")),
+        _pair(_pick(_NAMES["explanation"], 1), "'\"other reason\"'"),
+        _pair(_pick(_NAMES["second"]), "CASE WHEN result_id % 7 = 0 THEN 'true' WHEN result_id % 7 = 1 THEN 'null' ELSE 'false' END"),
+        _pair(_pick(_NAMES["confidence"]), "'\"Medium\"'"),
+    ]
+)
+_VERDICT = "CASE cast(floor(result_id / 8) AS bigint) % 5 WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL' WHEN 2 THEN 'UNCLEAR' WHEN 3 THEN 'fail' ELSE 'FAIL' END"
+_STEPS = " || ".join(
+    [
+        """'{"hierarchical_trace": {"2_outcome": {"verdict": "'""", _VERDICT, """'", "code_if_fail": '""", _quoted("CASE result_id % 3 WHEN 0 THEN 'NA' WHEN 1 THEN screening_code ELSE '' END"),
+        """', "failed_code": "EXCLUDE_FAILED", "quote": "q two", "supporting_quote": '""", _quoted("CASE WHEN result_id % 2 = 0 THEN '' ELSE 'NA' END"),
+        """', "rationale": "r"}, "1_population": {"verdict": "PASS", "supporting_quote": "q one", "code_if_fail": "NA", "rationale": "'""", "CASE WHEN result_id % 4 = 0 THEN '' ELSE 'why' END",
+        """'"}, "3_time": {"verdict": "'""", "CASE WHEN result_id % 5 = 0 THEN 'FAIL' ELSE 'NOT_EVALUATED' END", """'", "failed_code": "EXCLUDE_TIME"}}, "screening_decision": '""", _quoted("screening_decision"), "'}'",
+    ]
+)
+#: Raw responses made from results, the same text for the query and its twin: every name of every field, two names at once,
+#: fences, prose, traces, and cut or empty ones.
+RAW_SQL = f"""CASE result_id % 8 WHEN 4 THEN '```json' || chr(10) || '{{' || {_FIELDS} || '}}' || chr(10) || '```' WHEN 5 THEN {_STEPS} WHEN 6 THEN '{{}}' WHEN 7 THEN 'Here: ' || substr('{{' || {_FIELDS}, 1, 40)
+  WHEN 3 THEN 'Sure. {{' || {_FIELDS} || '}} Done.' ELSE '{{' || {_FIELDS} || '}}' END"""
+
+
 def _raw(spark, d):
-    """Raw responses made from results: fields under rotating names, some fenced, some cut, with a trace."""
-    h = F.col("result_id") % 6
-    body = lambda *cols: F.to_json(F.struct(*cols))
-    code, dec, quote = F.col("screening_code"), F.col("screening_decision"), F.col("supporting_quote")
-    step = lambda v, c: F.struct(F.lit(v).alias("verdict"), c.alias("code_if_fail"), quote.alias("supporting_quote"))
-    trace = F.struct(step("PASS", F.lit("NA")).alias("1_population"), step("FAIL", F.coalesce(code, F.lit("NA"))).alias("2_outcome")).alias("trace")
-    raw = (
-        F.when(h == 0, body(code.alias("screening_code"), dec.alias("screening_decision")))
-        .when(h == 1, F.concat(F.lit("```json\n"), body(code.alias("code"), dec.alias("decision")), F.lit("\n```")))
-        .when(h == 2, body(F.coalesce(code, F.lit("include")).alias("screening_decision")))
-        .when(h == 3, body(trace))
-        .when(h == 4, F.lit("{}"))
-        .otherwise(F.concat(F.lit("Here: "), F.substring(body(code.alias("screening_code")), 1, 12)))
-    )
-    return table(spark, d, "results").select("result_id", raw.alias("raw"))
-
-
-def _source(spark, d):
-    rec = table(spark, d, "records").groupBy("record_id").agg(F.min_by(F.struct("title", "abstract", "year"), "row_no").alias("r")).select("record_id", F.concat_ws(" ", "r.title", "r.abstract", "r.year").alias("source"))
-    return table(spark, d, "results").select("result_id", "record_id", "supporting_quote").join(rec, "record_id", "left")
+    return table(spark, d, "results").select("result_id", F.expr(RAW_SQL).alias("raw"))
+
+
+def _sources(spark, d):
+    """(record_id, source): one text per record, of its first delivery."""
+    return table(spark, d, "records").groupBy("record_id").agg(F.min_by(F.struct("title", "abstract", "year"), "row_no").alias("r")).select("record_id", F.concat_ws(" ", "r.title", "r.abstract", "r.year").alias("source"))
 
 
 def _exact(spark, d):
-    parts = quotes.fragments(F.col("supporting_quote"))
-    return _source(spark, d).select("result_id", F.forall(parts, lambda x: F.contains(F.lower("source"), F.lower(x))).alias("exact"))
+    rows = table(spark, d, "results").select("result_id", "record_id", "supporting_quote").join(_sources(spark, d), "record_id", "left")
+    return rows.select("result_id", F.forall(quotes.fragments(F.col("supporting_quote")), lambda x: F.contains(F.lower("source"), F.lower(x))).alias("exact"))
 
 
 def _tolerant(spark, d):
-    """Exact first, in generated code; only what fails goes through Arrow."""
-    rows = _source(spark, d).select("result_id", quotes.fragments(F.col("supporting_quote")).alias("parts"), "source")
-    hit = F.forall("parts", lambda x: F.contains(F.col("source"), x))
-    exact = rows.filter(F.coalesce(hit, F.lit(False))).select("result_id", F.lit(True).alias("verified"))
-    rest = rows.filter(~F.coalesce(hit, F.lit(False))).select("result_id", quotes.verified("parts", "source").alias("verified"))
-    return exact.unionByName(rest)
+    """One join; exact matches are seen in generated code, only the others go through Arrow. A record's text is brought
+    into normal form once."""
+    sources = _sources(spark, d).withColumn("plain", quotes.normal_text("source"))
+    rows = table(spark, d, "results").select("result_id", "record_id", quotes.fragments(F.col("supporting_quote")).alias("parts")).join(sources, "record_id", "left")
+    rows = rows.withColumn("hit", F.coalesce(F.forall("parts", lambda x: F.contains(F.col("source"), x)), F.lit(False)))
+    slow = quotes.verified_plain(F.when(~F.col("hit"), F.col("parts")), F.when(~F.col("hit"), F.col("plain")))
+    return rows.select("result_id", (F.col("hit") | slow).alias("verified"))
 
 
 def _criteria(spark, d):
@@ -89,7 +126,7 @@ def _rec(s, d):
 
 
 QUERIES = {
-    "alias_repair": lambda s, d: res.repaired(_raw(s, d)).select("result_id", "parsed", "screening_code", "screening_decision"),
+    "alias_repair": lambda s, d: res.repaired(_raw(s, d)).select("result_id", "parsed", "screening_code", "screening_decision", "explanation", "confidence", "needs_second_opinion", F.array_join("flags", ";").alias("flags")),
     "decisive_quote": lambda s, d: res.repaired(_raw(s, d)).select("result_id", "supporting_quote"),
     "trace_machine_checks": lambda s, d: res.trace_checks(_raw(s, d)),
     "criteria_first_fail": _criteria,
@@ -140,12 +177,39 @@ def _cut(limit: int) -> str:
 _H10 = "cast('0x' || substr(md5(record_id || '|' || model || '|' || c), 1, 4) AS bigint) % 10"
 _CODES = ", ".join(f"'{c}'" for c in panel.HASH_CODES)
 
+
+def _field(own: str, *others: str) -> str:
+    """A field of the JSON object j by its own name, else by the first other name with a value."""
+    rest = ", ".join(f"nullif(j->>'{a}', '')" for a in others)
+    return f"CASE WHEN list_contains(json_keys(j), '{own}') THEN j->>'{own}' ELSE coalesce({rest}) END"
+
+
+def _given(*values: str) -> str:
+    parts = ", ".join(f"nullif({v}, '')" for v in values)
+    return f"nullif(coalesce({parts}), 'NA')"
+
+
+# the lists of names stand here once more, as they are asked for, so that the twin doesn't repeat an error of the operator
+_FIXED = f"""WITH raws AS (SELECT result_id, {RAW_SQL.replace(' string)', ' varchar)')} AS raw FROM results), bodies AS (SELECT result_id, regexp_extract(raw, '(?s)(\\{{.*\\}})', 1) AS t FROM raws),
+  objects AS (SELECT result_id, CASE WHEN json_valid(t) AND len(json_keys(CASE WHEN json_valid(t) THEN t ELSE '{{}}' END::json)) > 0 THEN t::json END AS j FROM bodies),
+  named AS (SELECT result_id, j, j->'hierarchical_trace' AS tr, {_field("screening_code", "final_code", "code", "exclusion_code", "verdict")} AS code, {_field("screening_decision", "final_decision", "decision", "exclusion_decision")} AS dec,
+    {_field("supporting_quote", "quote", "evidence_quote", "exclusion_reason")} AS quote, {_field("explanation", "rationale", "summary", "reasoning", "reason")} AS expl, {_field("needs_second_opinion", "flag_for_review", "uncertain")} AS second, {_field("confidence", "confidence_level")} AS conf FROM objects),
+  steps AS (SELECT *, tr->'2_outcome'->>'verdict' AS v2, tr->'3_time'->>'verdict' AS v3, {_given("tr->'2_outcome'->>'code_if_fail'", "tr->'2_outcome'->>'failed_code'")} AS c2, {_given("tr->'3_time'->>'failed_code'")} AS c3, {_given("tr->'2_outcome'->>'supporting_quote'", "tr->'2_outcome'->>'quote'")} AS q2, tr->'1_population'->>'supporting_quote' AS q1 FROM named),
+  codes AS (SELECT *, coalesce(nullif(code, ''), CASE WHEN dec NOT IN ('INCLUDE', 'EXCLUDE') THEN nullif(dec, '') END, CASE WHEN tr IS NOT NULL THEN coalesce(CASE WHEN v2 = 'FAIL' THEN c2 END, CASE WHEN v3 = 'FAIL' THEN c3 END, 'INCLUDE_TA') END) AS found FROM steps),
+  fixed AS (SELECT *, CASE lower(trim(found)) WHEN 'include' THEN 'INCLUDE_TA' WHEN 'include_ta' THEN 'INCLUDE_TA' WHEN 'retain' THEN 'INCLUDE_TA' WHEN 'unclear' THEN 'INCLUDE_TA' WHEN 'exclude' THEN 'EXCLUDE_INTERVENTION_TOPIC' END AS renamed FROM codes)"""
+
 ORACLES = {
-    "alias_repair": f"""WITH c AS (SELECT result_id, result_id % 6 AS h, screening_code AS code, screening_decision AS dec FROM results),
-      d AS (SELECT *, CASE h WHEN 0 THEN coalesce(code, CASE WHEN dec NOT IN ('INCLUDE', 'EXCLUDE') THEN dec END) WHEN 1 THEN coalesce(code, CASE WHEN dec NOT IN ('INCLUDE', 'EXCLUDE') THEN dec END) WHEN 2 THEN coalesce(code, 'include') WHEN 3 THEN coalesce(code, 'INCLUDE_TA') END AS x,
-        h < 4 AND NOT (h IN (0, 1) AND code IS NULL AND dec IS NULL) AS ok FROM c),
-      e AS (SELECT *, CASE lower(regexp_replace(x, '^\\s+|\\s+$', '', 'g')) {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in res.CODE_ALIASES.items())} END AS renamed FROM d)
-      SELECT result_id, ok AS parsed, CASE WHEN ok THEN coalesce(renamed, x) ELSE 'INCLUDE_TA' END AS screening_code, CASE WHEN NOT ok OR renamed = 'INCLUDE_TA' THEN 'INCLUDE' WHEN renamed IS NOT NULL THEN 'EXCLUDE' WHEN h < 2 AND dec IN ('INCLUDE', 'EXCLUDE') THEN dec WHEN x IS NOT NULL THEN 'EXCLUDE' END AS screening_decision FROM e""",
+    "alias_repair": f"""{_FIXED} SELECT result_id, j IS NOT NULL AS parsed, CASE WHEN j IS NULL THEN 'INCLUDE_TA' ELSE coalesce(renamed, found) END AS screening_code,
+      CASE WHEN j IS NULL OR renamed = 'INCLUDE_TA' THEN 'INCLUDE' WHEN renamed IS NOT NULL THEN 'EXCLUDE' WHEN dec IN ('INCLUDE', 'EXCLUDE') THEN dec WHEN found = 'INCLUDE_TA' THEN 'INCLUDE' WHEN found IS NOT NULL THEN 'EXCLUDE' END AS screening_decision,
+      CASE WHEN j IS NULL THEN 'MODEL_ERROR: could not parse JSON after 2 attempts.' ELSE expl END AS explanation, CASE WHEN j IS NULL THEN 'Low' ELSE conf END AS confidence,
+      j IS NULL OR coalesce(lower(second) NOT IN ('false', '0', 'null', ''), false) AS needs_second_opinion, CASE WHEN j IS NULL THEN 'parse_error' ELSE '' END AS flags FROM fixed""",
+    "decisive_quote": f"""{_FIXED} SELECT result_id, coalesce(nullif(nullif(quote, ''), 'NA'), CASE WHEN v2 = 'FAIL' THEN q2 END, q1, 'NA') AS supporting_quote FROM fixed""",
+    "trace_machine_checks": f"""{_FIXED} SELECT result_id, false AS complete, v2 <> 'fail' AS known_verdicts, NOT (v2 = 'FAIL' AND v3 = 'FAIL') AS stops_at_failure, v2 = 'FAIL' OR v3 = 'FAIL' AS goes_on,
+      NOT (v2 = 'FAIL' AND c2 IS NULL) AS failure_has_code, NOT (v2 = 'PASS' AND c2 IS NOT NULL) AS pass_has_no_code, NOT (v2 = 'PASS' AND q2 IS NULL) AS pass_has_quote, result_id % 4 > 0 AND v3 = 'NOT_EVALUATED' AS has_rationale,
+      false AS code_matches, dec IS NULL AS decision_matches, v2 <> 'UNCLEAR' AS unclear_is_flagged FROM fixed WHERE tr IS NOT NULL""",
+    "quote_exact_verify": rf"""WITH {_RECS}, q AS (SELECT result_id, record_id, supporting_quote AS t, list_transform(regexp_extract_all(supporting_quote, '"((?:\\.|[^"\\])*)(?:"|$)', 1), lambda x: regexp_replace(x, '\\(.)', '\1', 'g')) AS p FROM results),
+      f AS (SELECT result_id, record_id, list_filter(CASE WHEN t IS NULL OR upper(trim(t)) IN ('NA', '') THEN [] WHEN len(p) > 0 THEN p ELSE [trim(trim(t), '"')] END, lambda x: x <> '') AS l FROM q)
+      SELECT result_id, len(list_filter(l, lambda x: NOT contains(lower(concat_ws(' ', title, abstract, year)), lower(x)))) = 0 AS exact FROM f LEFT JOIN recs USING (record_id)""",
     "quote_fragments": r"""WITH q AS (SELECT result_id, supporting_quote AS t, list_transform(regexp_extract_all(supporting_quote, '"((?:\\.|[^"\\])*)(?:"|$)', 1), lambda x: regexp_replace(x, '\\(.)', '\1', 'g')) AS p FROM results),
       f AS (SELECT result_id, list_filter(CASE WHEN t IS NULL OR upper(trim(t)) IN ('NA', '') THEN [] WHEN len(p) > 0 THEN p ELSE [trim(trim(t), '"')] END, lambda x: x <> '') AS l FROM q)
       SELECT result_id, cast(pos - 1 AS int) AS pos, l[pos] AS fragment FROM (SELECT result_id, l, unnest(range(1, len(l) + 1)) AS pos FROM f)""",

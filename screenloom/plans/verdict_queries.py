@@ -157,7 +157,7 @@ ORACLES = {
     "reliability_bins": f"{SCORED} SELECT cast(r.bin AS int) AS bin, coalesce(n, 0) AS n, mean_p, mean_y FROM range(10) r(bin) LEFT JOIN (SELECT least(floor(p * 10), 9) AS bin, count(*) AS n, round(avg(p), 6) AS mean_p, round(avg(y), 6) AS mean_y FROM scored GROUP BY 1) b ON b.bin = r.bin",
     "ece_brier": f"{SCORED} SELECT * FROM {_ECE}",
     "calibration_metrics": f"{SCORED} SELECT m.*, e.ece, e.brier, sensitivity >= 0.95 AS sensitivity_ok, kappa >= 0.7 AS kappa_ok, ece <= 0.1 AS ece_ok FROM (SELECT {METRICS} FROM (SELECT {_cells()} FROM scored)) m, {_ECE} e",
-    "per_model_metrics": f"{SCORED} SELECT model, brier, {METRICS} FROM (SELECT model, round(avg((round(share, 6) - y) ** 2), 6) AS brier, {_cells('predicted')} FROM (SELECT model, share, y, CASE WHEN decision = 'INCLUDE' THEN 1 ELSE 0 END AS predicted FROM models JOIN truth USING (record_id)) GROUP BY model)",
+    "per_model_metrics": f"{SCORED}, pm AS (SELECT model, round(share, 6) AS p, y, CASE WHEN decision = 'INCLUDE' THEN 1 ELSE 0 END AS predicted FROM models JOIN truth USING (record_id)), e AS (SELECT model, round(sum(abs(sp - sy)) / sum(k), 6) AS ece FROM (SELECT model, count(*) AS k, sum(p) AS sp, sum(y) AS sy FROM pm GROUP BY model, least(floor(p * 10), 9)) GROUP BY 1) SELECT model, brier, ece, {METRICS} FROM (SELECT model, round(avg((p - y) ** 2), 6) AS brier, {_cells('predicted')} FROM pm GROUP BY model) JOIN e USING (model)",
     "inter_model_kappa": f"""{BASE} SELECT model_a, model_b, n AS n_common, CASE WHEN n >= 2 THEN round((tp + tn) / n, 6) END AS agreement, CASE WHEN n >= 2 THEN kappa END AS kappa FROM (SELECT model_a, model_b, {METRICS} FROM (
       SELECT a.model AS model_a, b.model AS model_b, {_cells("(a.decision = 'INCLUDE')::int", "(b.decision = 'INCLUDE')::int")} FROM models a JOIN models b ON a.record_id = b.record_id AND a.model < b.model GROUP BY 1, 2))""",
     "errors_fn_fp": f"{SCORED} SELECT record_id, CASE WHEN predicted = 1 THEN 'FP' ELSE 'FN' END AS error_type, p AS vote_share_include, code FROM scored WHERE predicted <> y",

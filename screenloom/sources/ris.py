@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from screenloom.functions.keys import first_year
 
 TAG = re.compile(r"^([A-Z][A-Z0-9])  - ?(.*)$")
-SCHEMA = "source_file string, pos bigint, tags map<string,array<string>>"
+CLOSING = "\nER  -"
+SCHEMA = "source_file string, block bigint, pos bigint, tags map<string,array<string>>"
 
 
 def parse(text: str) -> list[dict[str, list[str]]]:
@@ -34,16 +35,19 @@ def parse(text: str) -> list[dict[str, list[str]]]:
 
 
 def read_tags(spark: SparkSession, path: str) -> DataFrame:
-    """(source_file, pos, tags) of all files under a path; files are the unit of work."""
+    """(source_file, block, pos, tags) of all files under a path, in the order of block and pos within a file.
+
+    Files are split at the lines that close records, so one of any size is read by many tasks and none holds more than a record at a time.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, text in zip(batch["name"], batch["value"], strict=True):
-                rows = [(name, k, t) for k, t in enumerate(parse(text))]
-                yield pd.DataFrame(rows, columns=["source_file", "pos", "tags"])
+            rows = [(name, block, pos, tags) for name, block, pos, text in zip(batch["name"], batch["block"], batch["pos"], batch["value"], strict=True) for tags in parse(text)]
+            yield pd.DataFrame(rows, columns=["source_file", "block", "pos", "tags"])
 
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("name"), "value")
-    return files.mapInPandas(run, SCHEMA)
+    parts = spark.read.option("lineSep", CLOSING).text(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("name")
+    return parts.select(name, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value").mapInPandas(run, SCHEMA)
 
 
 def first_of(*names: str) -> F.Column:
@@ -55,7 +59,8 @@ def first_of(*names: str) -> F.Column:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Records with the usual fields; missing ones are ''. ``row_no`` follows file name and place in the file."""
     rows = read_tags(spark, path).select(
-        "source_file", "pos", first_of("U1").alias("record_id"), first_of("T1", "TI").alias("title"), first_of("AB", "N2").alias("abstract"),
+        "source_file", "block", "pos", first_of("U1").alias("record_id"), first_of("T1", "TI").alias("title"), first_of("AB", "N2").alias("abstract"),
         first_year(first_of("PY", "Y1", "DA")).alias("year"), first_of("TY").alias("type"), F.lower(first_of("DO")).alias("doi"),
     )
-    return rows.withColumn("row_no", F.concat("source_file", F.lit("|"), F.lpad(F.col("pos").cast("string"), 12, "0")))
+    place = [F.lpad(F.col(c).cast("string"), 20, "0") for c in ("block", "pos")]
+    return rows.withColumn("row_no", F.concat_ws("|", "source_file", *place))

@@ -14,8 +14,9 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
 
 
 def write_review_csv(df: DataFrame, path: str) -> None:
-    """With a header in each part and quotes doubled, so that sheets with line breaks survive."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    """With a header in each part and quotes doubled, so that sheets with line breaks survive; blanks at the ends of cells stay."""
+    own = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**own).csv(path)
 
 
 def write_ris(records: DataFrame, path: str) -> None:

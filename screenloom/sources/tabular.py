@@ -107,6 +107,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.filter("r IS NOT NULL AND r._bad IS NULL").select("r.*").drop("_bad")
 
 
+def last_by(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The last row of each key by ``order``: a line that was written again replaces the one before. A null key has no row."""
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), order).alias("r")).select(key, "r.*")
+
+
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
     """(record_id, label) of a file with one JSON object."""
     return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("record_id", "label"))

@@ -26,10 +26,11 @@ def test_cascade_stops_at_a_blank_id(spark):
 
 
 def test_best_candidate(spark):
-    rows = spark.createDataFrame([("k", "A study of things", "2010")], "key string, title string, year string")
-    cand = spark.createDataFrame([("k", 1, "d1", "A study of things", 2010), ("k", 2, "d2", "A study of things", 2010), ("k", 3, "", "A study of things", 2010), ("k", 4, "d4", "other", 1990)], "key string, ord int, doi string, cand_title string, cand_year int")
-    got = references.best_candidates(rows, cand).collect()
-    assert [(r["doi"], r["confidence"]) for r in got] == [("d1", 100)]
+    rows = spark.createDataFrame([("k", "2010"), ("far", "2001")], "key string, year string")
+    same = [("k", k, d, "A study of things", y, r) for k, d, y, r in ((1, "d1", 2010, 1.0), (2, "d2", 2010, 1.0), (3, "", 2010, 1.0), (4, "d4", 1990, 0.2))]
+    cand = spark.createDataFrame([*same, ("far", 5, "d5", "x", 2003, 0.9), ("far", 6, "d6", "y", 2004, 1.0)], "key string, ord int, doi string, cand_title string, cand_year int, ratio double")
+    got = {r["key"]: (r["doi"], r["confidence"]) for r in references.best_candidates(rows, cand).collect()}
+    assert got == {"k": ("d1", 100), "far": ("d5", 90)}  # two years apart are neutral, three cost fifteen
 
 
 def test_ris_round_trip(spark, tmp_path):

@@ -64,11 +64,12 @@ def test_responses(spark):
 
 
 def test_trace_checks(spark):
-    good = {"trace": {"1": {"verdict": "PASS", "supporting_quote": "p"}, "2": {"verdict": "FAIL", "code_if_fail": "X"}, "3": {"verdict": "NOT_EVALUATED"}}, "screening_code": "X"}
-    bad = {"trace": {"1": {"verdict": "FAIL"}, "2": {"verdict": "PASS"}}, "screening_code": "Y"}
-    rows = responses.trace_checks(spark.createDataFrame([(0, json.dumps(good)), (1, json.dumps(bad))], "k int, raw string")).orderBy("k").collect()
-    assert all(rows[0][c] for c in rows[0].asDict() if c != "k")
-    assert not any(rows[1][c] for c in ("stops_at_failure", "failure_has_code", "pass_has_quote", "code_matches"))
+    done = {str(k): {"verdict": "PASS", "supporting_quote": "p", "rationale": "r", "code_if_fail": "NA"} for k in range(1, 5)}
+    good = {"hierarchical_trace": done | {"5": {"verdict": "FAIL", "code_if_fail": "X", "rationale": "r"}, "6": {"verdict": "NOT_EVALUATED"}}, "screening_code": "X", "screening_decision": "EXCLUDE"}
+    bad = {"trace": {"1": {"verdict": "NOT_EVALUATED"}, "2": {"verdict": "FAIL"}, "3": {"verdict": "PASS", "code_if_fail": "Z"}, "4": {"verdict": "maybe"}, "5": {"verdict": "UNCLEAR"}}, "screening_code": "Y", "screening_decision": "INCLUDE"}
+    rows = responses.trace_checks(spark.createDataFrame([(0, json.dumps(good)), (1, json.dumps(bad)), (2, "{}"), (3, None)], "k int, raw string")).orderBy("k").collect()
+    assert len(rows) == 2 and len(rows[0]) == 12 and all(rows[0][c] for c in rows[0].asDict() if c != "k")
+    assert not any(rows[1][c] for c in rows[1].asDict() if c != "k")
 
 
 def test_first_failure(spark):
