@@ -1,10 +1,10 @@
 """Variant spellings of people and periodicals.
 
-Each distinct spelling is parsed into a class. The name of a class (family name of a person, words of a
-periodical) becomes a vector of character n-grams weighted by rarity; a distributed sparse join finds all pairs
-of vectors with a cosine of MIN_COSINE or more, pairs whose other parts agree become links with a likeness,
-and average linkage groups them. Linkage runs on tables of links, merging mutual best neighbours in rounds,
-so no group is ever collected.
+Each distinct spelling is parsed into a class. The name of a class (family name of a person without blanks, words of a
+periodical) becomes a vector of character n-grams weighted by rarity. A distributed sparse join, exact for MIN_COSINE (so it keeps
+all partners and not the best n), gives pairs; those whose words and given names agree become links, whose likeness is made of the cosine
+and of that agreement, and average linkage groups them. Linkage runs on tables of links, merging mutual best neighbours in
+rounds, so no group is ever collected.
 """
 
 from __future__ import annotations
@@ -23,7 +23,12 @@ from screenloom.llm.titles import edit_distance
 from screenloom.session import cut, stage
 
 GRAMS = (2, 3)
-MIN_COSINE = 0.45
+#: Single slips in family names, swaps among them, leave a cosine of 0.399 at least (measured over 8,269 families).
+MIN_COSINE = 0.36
+#: Two family names further apart than this in plain edits are never one: two slips that are swaps.
+FAMILY_EDITS = 4
+#: Given names of so many letters are also joined on their last two: the first letter may be a slip.
+ENDING_FROM = 4
 #: Average likeness of all pairs across two groups from which they are one.
 MIN_LINKAGE = 0.5
 
@@ -40,6 +45,8 @@ NICKNAMES = {
     "thomas": "tom tommy", "timothy": "tim", "victoria": "vicky vic tori", "vincent": "vince", "walter": "walt", "william": "will bill billy", "zachary": "zach zack zac",
 }
 SHORT = {short: full for full, shorts in NICKNAMES.items() for short in shorts.split()}
+#: First letters under which a full name and its short forms are written.
+INITIALS = {full: sorted({full[0], *(short[0] for short in shorts.split())}) for full, shorts in NICKNAMES.items()}
 # Particles of family names, words of a periodical's name that carry nothing, and additions to it.
 PARTICLES = frozenset("van von der den de la le el al bin ibn da dos di del ter ten".split())
 EMPTY_WORDS = frozenset("the of on for in and a an".split())
@@ -100,6 +107,12 @@ def _same_word(a: str, b: str) -> bool:
     return a == b or edit_distance(a, b, 2) <= (0 if short < 4 else 1 if short < 7 else 2)
 
 
+def _same_family(a: str, b: str) -> bool:
+    """Whether two family names are one but for slips, blanks and hyphens apart ('de la' and 'dela')."""
+    x, y = a.split(), b.split()
+    return _same_word("".join(x), "".join(y)) or (len(x) == len(y) and all(_same_word(p, q) for p, q in zip(x, y, strict=True)))
+
+
 def _near_word(a: str, b: str) -> bool:
     """Two slips of one word may be two edits apart."""
     return min(len(a), len(b)) >= 5 and edit_distance(a, b, 2) <= 2
@@ -113,7 +126,8 @@ def given_likeness(a: tuple[str, str], b: tuple[str, str]) -> float:
     if not f or not g:
         return 0.3
     if len(f) == 1 or len(g) == 1:
-        return 0.8 if f[0] == g[0] else 0.0
+        own = f[0] == g[0]
+        return 0.8 if own else 0.7 if f in INITIALS.get(g, ()) or g in INITIALS.get(f, ()) else 0.0
     return 1.0 if f == g else 0.9 if _same_word(f, g) else 0.6 if _near_word(f, g) else 0.0
 
 
@@ -144,8 +158,8 @@ def grams(name: str) -> list[str]:
 
 
 def classes_of(spellings: DataFrame) -> DataFrame:
-    """(field, name) -> (field, name, n, class, base, first, middle, grams) of distinct spellings that can be
-    parsed; n is how often the spelling occurs."""
+    """(field, name) -> (field, name, n, class, base, first, middle, initials, grams) of distinct spellings that can be
+    parsed; n is how often the spelling occurs, initials are those of the given name and its short forms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +167,11 @@ def classes_of(spellings: DataFrame) -> DataFrame:
             for field, name, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = (parse_person if field == "authors" else parse_periodical)(name)
                 if parts:
-                    out.append((field, name, n, *parts, grams(parts[0])))
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["field", "name", "n", "base", "first", "middle", "grams"])
+                    out.append((field, name, n, *parts, INITIALS.get(parts[1], [*parts[1][:1]]), grams(parts[0].replace(" ", "") if field == "authors" else parts[0])))
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["field", "name", "n", "base", "first", "middle", "initials", "grams"])
 
-    parsed = spellings.groupBy("field", "name").agg(F.count("*").alias("n")).mapInArrow(run, "field string, name string, n bigint, base string, first string, middle string, grams array<string>")
+    parsed = spellings.groupBy("field", "name").agg(F.count("*").alias("n")).mapInArrow(run, "field string, name string, n bigint, base string, first string, middle string, initials array<string>, grams array<string>")
     return parsed.withColumn("class", F.xxhash64("field", "base", "first", "middle"))
 
 
@@ -189,37 +203,52 @@ def vectors(classes: DataFrame) -> DataFrame:
     return classes.drop("grams").join(made, "class")
 
 
+def _tags() -> F.Column:
+    """What two classes must share besides a gram. Periodicals: nothing. People: an initial of the given name, or its ending; who
+    has no given name shares every initial (``every``, an array of those that occur)."""
+    first = F.col("first")
+    ending = F.when(F.length(first) >= ENDING_FROM, F.concat(F.lit("e"), F.substring(first, -2, 2)))
+    marked = lambda c: F.transform(c, lambda x: F.concat(F.lit("i"), x))
+    own = F.when(first == "", F.array_append(marked("every"), "i")).otherwise(F.array_compact(F.array_append(marked("initials"), ending)))
+    return F.when(F.col("field") == "authors", own).otherwise(F.array(F.lit("")))
+
+
 def links(vecs: DataFrame) -> DataFrame:
     """(a, b, likeness) of classes that may be one entity. The join is on prefix grams (no pair with the cosine is
-    lost) and, for people, the initial of the given name, which must agree; people without one join all initials' side."""
-    initial = F.when(F.col("field") == "authors", F.substring("first", 1, 1)).otherwise("")
-    keyed = vecs.select("class", F.explode("prefix").alias("gram"), "field", initial.alias("initial")).select("class", F.xxhash64("field", "gram", "initial").alias("key"))
+    lost) and, for people, on the given name's initial or ending. Cheap tests come first, in generated code, then those of words in Arrow batches;
+    vectors are only fetched for the few pairs that pass both."""
+    # initials are letters, so the set is as small as the alphabets in use
+    every = vecs.filter("field = 'authors'").select(F.explode("initials").alias("x")).agg(F.coalesce(F.collect_set("x"), F.array().cast("array<string>")).alias("every"))
+    tagged = vecs.select("class", "field", "first", "initials", "prefix").crossJoin(F.broadcast(every))  # one row
+    keyed = tagged.select("class", "field", F.explode(_tags()).alias("tag"), "prefix").select("class", "field", "tag", F.explode("prefix").alias("gram")).select("class", F.xxhash64("field", "gram", "tag").alias("key"))
     pairs = key_pairs(keyed, "key", "class")
-    side = ["class", "field", "base", "first", "middle", "terms"]
+    side = ["class", "field", "base", "first", "middle"]
     left = vecs.select(*[F.col(c).alias(f"{c}_a") for c in side])
     right = vecs.select(*[F.col(c).alias(f"{c}_b") for c in side])
-    full = pairs.join(left, F.col("a") == F.col("class_a")).join(right, F.col("b") == F.col("class_b"))
+    full = pairs.join(left, F.col("a") == F.col("class_a")).join(right, F.col("b") == F.col("class_b")).filter("field_a = field_b").drop("class_a", "class_b", "field_b")
+    people = F.levenshtein(F.replace("base_a", F.lit(" "), F.lit("")), F.replace("base_b", F.lit(" "), F.lit("")), FAMILY_EDITS) >= 0
+    same_size = F.size(F.split("base_a", " ")) == F.size(F.split("base_b", " "))
+    full = full.filter(F.when(F.col("field_a") == "authors", people | same_size & (F.size(F.split("base_a", " ")) > 1)).otherwise(same_size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                weights = {t["gram"]: t["w"] for t in r["terms_a"]}
-                cosine = sum(weights.get(t["gram"], 0.0) * t["w"] for t in r["terms_b"])
-                if cosine < MIN_COSINE:
-                    continue
-                if r["field_a"] == "authors":
-                    x, y = r["base_a"].split(), r["base_b"].split()
-                    near = len(x) == len(y) and all(_same_word(p, q) for p, q in zip(x, y, strict=True))
-                    given = given_likeness((r["first_a"], r["middle_a"]), (r["first_b"], r["middle_b"])) if near else 0.0
-                    likeness = (cosine + 2 * given) / 3 if given else 0.0
+            for a, b, field, base_a, first_a, middle_a, base_b, first_b, middle_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if field == "authors":
+                    agree = given_likeness((first_a, middle_a), (first_b, middle_b))
+                    agree = agree if agree and _same_family(base_a, base_b) else 0.0
                 else:
-                    likeness = periodical_likeness(r["base_a"], r["base_b"])
-                if likeness > 0:
-                    out.append((r["a"], r["b"], likeness))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], names=["a", "b", "likeness"])
+                    agree = periodical_likeness(base_a, base_b)
+                if agree:
+                    out.append((a, b, agree))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], names=["a", "b", "agree"])
 
-    return full.drop("class_a", "class_b").mapInArrow(run, "a bigint, b bigint, likeness double")
+    columns = ["a", "b", "field_a", "base_a", "first_a", "middle_a", "base_b", "first_b", "middle_b"]
+    likely = stage(full.select(*columns).mapInArrow(run, "a bigint, b bigint, agree double"))
+    terms = vecs.select("class", F.map_from_entries("terms").alias("terms"))
+    both = likely.join(terms.withColumnsRenamed({"class": "a", "terms": "ta"}), "a").join(terms.withColumnsRenamed({"class": "b", "terms": "tb"}), "b")
+    cosine = F.aggregate(F.map_entries("tb"), F.lit(0.0), lambda s, t: s + t["value"] * F.coalesce(F.try_element_at("ta", t["key"]), F.lit(0.0)))
+    return both.select("a", "b", "agree", cosine.alias("cosine")).filter(F.col("cosine") >= MIN_COSINE).select("a", "b", ((F.col("cosine") + 2 * F.col("agree")) / 3).alias("likeness"))
 
 
 def average_linkage(found: DataFrame, counts: DataFrame, least: float = MIN_LINKAGE, rounds: int | None = None) -> DataFrame:
@@ -257,7 +286,7 @@ def entities(spellings: DataFrame) -> DataFrame:
     Null and blank names, and names without a letter, are no spellings; repeated rows count once.
     """
     parsed = stage(classes_of(spellings.filter("name IS NOT NULL AND trim(name) <> ''")))
-    classes = parsed.select("field", "class", "base", "first", "middle", "grams").dropDuplicates(["class"])
+    classes = parsed.select("field", "class", "base", "first", "middle", "initials", "grams").dropDuplicates(["class"])
     vecs = stage(vectors(classes))
     groups = average_linkage(stage(links(vecs)), parsed.groupBy("class").agg(F.sum("n").alias("n"))).select("class", "group")
     return parsed.select("field", "name", "class").join(groups, "class", "left").select("field", "name", F.coalesce("group", "class").alias("entity"))

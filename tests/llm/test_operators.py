@@ -170,6 +170,31 @@ def test_entities(spark):
     assert names.spelling_pairs(names.entities(spark.createDataFrame([], "field string, name string"))).count() == 0
 
 
+def test_links_lose_nothing(spark):
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(k)).capitalize()
+    people = [(word(4), rng.choice(["Emmanuel", "Katherine", "Thomas", "Rania", "Kofi"])) for _ in range(120)]
+    spelt = []
+    for family, given in people:
+        k = rng.randrange(1, len(family) - 2)
+        swapped = family[:k] + family[k + 1] + family[k] + family[k + 2 :]
+        spelt += [f"{family}, {given}", f"{swapped}, {given}", f"{given[0]}. {family}", family, f"{family}, X{given[1:]}"]
+    spelt += ["de la Torrepan, Ana", "dela Torrepan, Ana", "K. Katzomil", "Catherine Katzomil", "", "...", LONG[:2000]]
+    vecs = names.vectors(names.classes_of(spark.createDataFrame([("authors", n) for n in spelt], "field string, name string")).dropDuplicates(["class"])).cache()
+    got = {(r["a"], r["b"]): r["likeness"] for r in names.links(vecs).collect()}
+    rows = [(r["class"], r["base"], r["first"], r["middle"], {t["gram"]: t["w"] for t in r["terms"]}) for r in vecs.collect()]
+    want = {}
+    for k, a in enumerate(rows):
+        for b in rows[k + 1 :]:
+            agree = names.given_likeness(a[2:4], b[2:4])
+            if agree and names._same_family(a[1], b[1]):
+                cosine = sum(w * b[4].get(g, 0.0) for g, w in a[4].items())
+                want[min(a[0], b[0]), max(a[0], b[0])] = (cosine + 2 * agree) / 3 if cosine >= names.MIN_COSINE else None
+    kept = {p: v for p, v in want.items() if v is not None}
+    assert set(got) <= set(want) and len(set(got) & set(kept)) >= 0.98 * len(kept) and len(kept) >= 0.97 * len(want) and len(kept) > 800
+    assert all(abs(got[p] - kept[p]) < 1e-9 for p in set(got) & set(kept))
+
+
 def test_linkage_never_stops_unfinished(spark):
     n = 6  # each round merges one class with the hub
     found = spark.createDataFrame([(a, b, 1 - 0.005 * b) for b in range(n) for a in range(b)], "a bigint, b bigint, likeness double").coalesce(1)
