@@ -1,14 +1,13 @@
 """Evaluation texts inside training text: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 The corpus is scanned once and never shuffled: the evaluation set, a stated query set, is sent to the
-executors in blocks of at most ``ITEMS_PER_BLOCK`` items, each block against all documents.
+executors in blocks of bounded size. Blocks don't change what is found: rarity is counted over all items.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,19 +15,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ITEMS_PER_BLOCK = 2_000
-SEED_WORDS = 4
+#: Characters of accounts in a broadcast, and in all broadcasts of one scan of the corpus; more items take another scan.
+BLOCK_CHARS, SCAN_CHARS = 4_000_000, 64_000_000
+#: A passage of ten words or more with a changed word in four at most has three equal words in a row.
+SEED_WORDS = 3
 #: A seed is rare if it stands in at most so many items of the evaluation set.
 SEED_ITEMS = 3
-MIN_SEEDS = 3
 MIN_PASSAGE = 10
 MIN_SHARE = 1 / 3
 MIN_IDENTITY = 0.75
-MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
+#: A changed word costs a little less than an equal one gives, so that one next to the end of a passage doesn't cut it short.
+MATCH, MISMATCH, GAP = 1.0, -0.9, -1.0
 #: Lowest score of a passage: ten words of which two are changed.
-MIN_SCORE = MIN_PASSAGE * MATCH + 2 * (MISMATCH - MATCH)
-#: With a changed word in every WORDS_PER_SEED, a repeated stretch still holds one seed in as many words.
-WORDS_PER_SEED = SEED_WORDS + 1
+MIN_SCORE = MIN_PASSAGE * MATCH + 2 * (MISMATCH - MATCH) - 1e-6
+#: Words in a row that may be changed within a passage, and marks that may stand between two of its words in the text.
+CHANGED, MARKS = 1, 1
+#: A passage has ten words in a row of which so many are repeated; in the text they lie within REACH words of a seed among them.
+REPEATED, REACH = 8, 16
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -89,6 +92,20 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int]], float]:
     return pairs[::-1], best
 
 
+def _accepted(pairs: list[tuple[int, int]], a: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of the account within one alignment that are passages: only single words are changed within one, so the alignment is cut where
+    more words in a row differ, and a mark may stand between words of the text."""
+    same = [(i, j) for i, j in pairs if a[i] == text[j]]
+    found, begin = [], 0
+    for k in range(1, len(same) + 1):
+        if k == len(same) or same[k][0] - same[k - 1][0] > CHANGED + 1 or same[k][1] - same[k - 1][1] > CHANGED + MARKS + 1:
+            first, last = same[begin][0], same[k - 1][0]
+            if last - first + 1 >= MIN_PASSAGE and k - begin >= MIN_IDENTITY * (last - first + 1):
+                found.append((first, last))
+            begin = k
+    return found
+
+
 def passages(account: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
     """Spans (first, last word) of the account repeated in the text; each has MIN_PASSAGE words or more."""
     a, found = account.copy(), []
@@ -96,51 +113,75 @@ def passages(account: np.ndarray, text: np.ndarray) -> list[tuple[int, int]]:
         pairs, score = align(a, text)
         if score < MIN_SCORE:
             return found
-        first, last = pairs[0][0], pairs[-1][0]
-        same = sum(a[i] == text[j] for i, j in pairs)
-        if last - first + 1 >= MIN_PASSAGE and same >= MIN_IDENTITY * (last - first + 1):
-            found.append((first, last))
-        a[first : last + 1] = -2  # never equal to a word of a text
+        found += _accepted(pairs, a, text)
+        a[pairs[0][0] : pairs[-1][0] + 1] = -2  # never equal to a word of a text
+
+
+_STEP = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """A code for each run of SEED_WORDS word codes."""
+    n = max(0, len(codes) - SEED_WORDS + 1)
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(SEED_WORDS):
+        out = (out ^ (out >> np.uint64(29))) * _STEP[0] + (codes[k : k + n].astype(np.int64).view(np.uint64) + np.uint64(1)) * _STEP[1]
+    return out
 
 
 class LeakScanner:
-    """Holds one block of accounts with their seeds; applied to texts on the executors."""
+    """Holds one block of accounts (id, words, places of rare seeds); applied to texts on the executors."""
 
-    def __init__(self, block: list[tuple[int, str]]):
-        self.ids = [k for k, _ in block]
-        lists = [words(t) for _, t in block]
+    def __init__(self, block: list[tuple[int, list[str], list[int]]]):
+        self.ids = [k for k, _, _ in block]
         self.vocabulary: dict[str, int] = {}
-        self.accounts = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws], dtype=np.int32) for ws in lists]
-        holders: dict[tuple[str, ...], set[int]] = defaultdict(set)
-        for k, ws in enumerate(lists):
-            for p in range(len(ws) - SEED_WORDS + 1):
-                holders[tuple(ws[p : p + SEED_WORDS])].add(k)
-        self.seeds = {g: sorted(s) for g, s in holders.items() if len(s) <= SEED_ITEMS}
-        # an account without rare seeds (near-copies of one item) keeps all of its own
-        bare = set(range(len(block))) - {k for s in self.seeds.values() for k in s}
-        for g, s in holders.items():
-            if bare & s:
-                self.seeds[g] = sorted(s)
+        self.accounts = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws], dtype=np.int32) for _, ws, _ in block]
+        grams, item, place, rare = [np.empty(0, dtype=np.uint64)], [], [], []
+        for k, (codes, (_, _, own)) in enumerate(zip(self.accounts, block, strict=True)):
+            g = _grams(codes)
+            mark = np.zeros(len(g), dtype=bool)
+            mark[own] = True
+            grams.append(g)
+            item += [k] * len(g)
+            place += range(len(g))
+            rare += mark.tolist()
+        every = np.concatenate(grams)
+        order = np.argsort(every, kind="stable")
+        self.grams, self.start = np.unique(every[order], return_index=True)
+        self.start = np.append(self.start, len(every))
+        self.item, self.place, self.rare = (np.array(x, dtype=t)[order] for x, t in ((item, np.int32), (place, np.int32), (rare, bool)))
+
+    def _hits(self, codes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(item, place in the account, place in the text, rare) of all seeds that a text shares with accounts."""
+        own = _grams(codes)
+        at = np.searchsorted(self.grams, own)
+        at[at == len(self.grams)] = 0
+        where = np.nonzero(self.grams[at] == own)[0] if len(self.grams) else np.empty(0, dtype=np.int64)
+        first = self.start[at[where]] if len(where) else where
+        many = self.start[at[where] + 1] - first if len(where) else where
+        entry = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return self.item[entry], self.place[entry], np.repeat(where, many), self.rare[entry]
+
+    def _may_repeat(self, account: np.ndarray, i: int, codes: np.ndarray, j: int) -> bool:
+        """Whether ten words of the account around a seed, REPEATED of them, lie near the seed in the text."""
+        begin = max(0, i - MIN_PASSAGE + SEED_WORDS)
+        near = np.isin(account[begin : i + MIN_PASSAGE], codes[max(0, j - REACH) : j + REACH + SEED_WORDS])
+        sums = np.concatenate(([0], np.cumsum(near)))
+        return len(near) >= MIN_PASSAGE and bool((sums[MIN_PASSAGE:] - sums[:-MIN_PASSAGE] >= REPEATED).any())
 
     def scan(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
-        """(item_id, words repeated, words of the account, passages) of each item that the text may repeat to
-        MIN_SHARE: it holds the seeds which that many words hold at least, and a passage aligns."""
-        ws = words(text)
-        hits: dict[int, list[int]] = defaultdict(list)
-        seeds = self.seeds
-        for p, gram in enumerate(zip(*(ws[i:] for i in range(SEED_WORDS)), strict=False)):
-            for k in seeds.get(gram, ()):
-                hits[k].append(p)
-        coded = None
-        for k, at in hits.items():
+        """(item_id, words repeated, words of the account, passages) of each item of which the text repeats a passage that holds a rare seed."""
+        codes = np.array([self.vocabulary.get(w, -1) for w in words(text)], dtype=np.int32)
+        item, i, j, rare = self._hits(codes)
+        tried: set[int] = set()
+        for k, a, b in zip(item[rare].tolist(), i[rare].tolist(), j[rare].tolist(), strict=True):
             account = self.accounts[k]
-            if len(at) < max(MIN_SEEDS, MIN_SHARE * len(account) / WORDS_PER_SEED):
+            if k in tried or not self._may_repeat(account, a, codes, b):
                 continue
-            if coded is None:
-                coded = np.array([self.vocabulary.get(w, -1) for w in ws], dtype=np.int32)
+            tried.add(k)
             covered, count = np.zeros(len(account), dtype=bool), 0
-            for start, stop in self._windows(at, len(account), len(ws)):
-                for first, last in passages(account, coded[start:stop]):
+            for start, stop in self._windows(sorted(j[item == k].tolist()), len(account), len(codes)):
+                for first, last in passages(account, codes[start:stop]):
                     covered[first : last + 1] = True
                     count += 1
             if count:
@@ -158,6 +199,24 @@ class LeakScanner:
         yield start, min(stop, length)
 
 
+def seeded(found: DataFrame) -> DataFrame:
+    """(item_id, words, rare): the words of each account and the places of its rare seeds, counted over all accounts. An account without a rare
+    seed, such as one that stands in many items, keeps all of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [words(t) for t in batch.column(1).to_pylist()]
+            grams = [[" ".join(ws[p : p + SEED_WORDS]) for p in range(len(ws) - SEED_WORDS + 1)] for ws in lists]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.string())), pa.array(grams, pa.list_(pa.string()))], names=["item_id", "words", "grams"])
+
+    own = found.select("item_id", "account").mapInArrow(run, "item_id bigint, words array<string>, grams array<string>")
+    places = own.select("item_id", F.posexplode("grams").alias("place", "gram"))
+    rare = places.groupBy("gram").agg(F.count_distinct("item_id").alias("n")).filter(F.col("n") <= SEED_ITEMS).select("gram")
+    kept = places.join(rare, "gram", "left_semi").groupBy("item_id").agg(F.sort_array(F.collect_list("place")).alias("rare"))  # one account's places
+    every = F.when(F.size("grams") > 0, F.sequence(F.lit(0), F.size("grams") - 1)).otherwise(F.array().cast("array<int>"))
+    return own.join(kept, "item_id", "left").select("item_id", "words", F.coalesce("rare", every).alias("rare"))
+
+
 def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(item_id, doc_id, words_repeated, account_words, passages) of candidate pairs (see ``scan``).
 
@@ -166,14 +225,14 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "item_id bigint, doc_id bigint, words_repeated bigint, account_words bigint, passages bigint"
+    sc = documents.sparkSession.sparkContext
     result = None
-    for block in _blocks(accounts(items)):
-        scanner = LeakScanner(block)
-        shared = documents.sparkSession.sparkContext.broadcast(scanner)
+    for scan in _scans(_blocks(seeded(accounts(items)))):
+        shared = [sc.broadcast(LeakScanner(block)) for block in scan]
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(k, d, n, m, c) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k, n, m, c in shared.value.scan(t)]
+                rows = [(k, d, n, m, c) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for own in shared for k, n, m, c in own.value.scan(t)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names=["item_id", "doc_id", "words_repeated", "account_words", "passages"])
 
         part = docs.mapInArrow(run, schema)
@@ -181,18 +240,33 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return result if result is not None else documents.sparkSession.createDataFrame([], schema)
 
 
-def _blocks(found: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The accounts in blocks of bounded size, in order of item_id."""
-    block: list[tuple[int, str]] = []
-    for row in found.orderBy("item_id").toLocalIterator():
-        block.append((row["item_id"], row["account"]))
-        if len(block) == ITEMS_PER_BLOCK:
+def _blocks(found: DataFrame) -> Iterator[list[tuple[int, list[str], list[int]]]]:
+    """The accounts in blocks of bounded size, one block at the driver at a time."""
+    block: list[tuple[int, list[str], list[int]]] = []
+    size = 0
+    for row in found.toLocalIterator():
+        own = sum(map(len, row["words"])) + len(row["words"])
+        if block and size + own > BLOCK_CHARS:
             yield block
-            block = []
+            block, size = [], 0
+        block.append((row["item_id"], row["words"], row["rare"]))
+        size += own
     if block:
         yield block
 
 
+def _scans(blocks: Iterator[list]) -> Iterator[list[list]]:
+    """Blocks that go with one scan of the corpus."""
+    scan: list[list] = []
+    for block in blocks:
+        scan.append(block)
+        if len(scan) * BLOCK_CHARS >= SCAN_CHARS:
+            yield scan
+            scan = []
+    if scan:
+        yield scan
+
+
 def leaked(found: DataFrame) -> DataFrame:
     """Pairs whose document repeats at least MIN_SHARE of the account."""
     return found.filter(F.col("words_repeated") >= MIN_SHARE * F.col("account_words"))

@@ -311,6 +311,43 @@ def test_leaks(spark):
     assert leakage.leaks(found.select("doc_id", F.lit("x").alias("text")), items.limit(0)).count() == 0
 
 
+def _brute_leaks(accounts, docs):
+    """All pairs by alignment over whole texts, without seeds."""
+    out = set()
+    for k, account in accounts:
+        ids = {}
+        a = np.array([ids.setdefault(w, len(ids)) for w in leakage.words(account)], dtype=np.int32)
+        for d, text in docs:
+            t = np.array([ids.get(w, -1) for w in leakage.words(text)], dtype=np.int32)
+            spans = leakage.passages(a, t) if len(t) else []
+            if sum(y - x + 1 for x, y in spans) * 3 >= len(a) and spans:
+                out.add((k, d))
+    return out
+
+
+def test_edited_ten_word_passages_are_found(spark, monkeypatch):
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(400)]
+    texts = [" ".join(rng.sample(vocabulary, 30)).capitalize() + "." for _ in range(24)]
+    items = spark.createDataFrame([(k, f"Read the case. {t} Which step comes first? None.") for k, t in enumerate(texts)], "item_id bigint, text string")
+    docs = []
+    for k, t in enumerate(texts):
+        w = t.rstrip(".").split()
+        for n, changed in enumerate(((2, 7), (3, 6), (1, 8), (), (0, 9), (4, 5))):
+            own = ["zz" if p in changed else x for p, x in enumerate(w[:10])]
+            docs.append((10 * k + n, " ".join(rng.sample(vocabulary, 15) + own + rng.sample(vocabulary, 15))))
+        docs.append((10 * k + 7, " ".join(w[:11] + rng.sample(vocabulary, 4) + w[17:28])))  # two passages, words of the account left out between them
+        docs.append((10 * k + 8, " ".join(x if p % 4 else "zz" for p, x in enumerate(w))))  # a changed word in four
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    own = [(r["item_id"], r["account"]) for r in leakage.accounts(items).collect()]
+    want = _brute_leaks(own, docs)
+    got = {(r["item_id"], r["doc_id"]) for r in leakage.leaked(leakage.leaks(df, items)).collect()}
+    assert got == want and len(want) == 24 * 6  # two changed words in a row end a passage, and nine words are none
+    monkeypatch.setattr(leakage, "BLOCK_CHARS", 500)
+    monkeypatch.setattr(leakage, "SCAN_CHARS", 1_000)
+    assert {(r["item_id"], r["doc_id"]) for r in leakage.leaked(leakage.leaks(df, items)).collect()} == want  # blocks change nothing
+
+
 # ---- abuse ----
 def test_abuse_on_held_out_sentences(spark):
     rng = random.Random(4)
