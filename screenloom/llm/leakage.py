@@ -30,8 +30,8 @@ MATCH, MISMATCH, GAP = 1.0, -0.9, -1.0
 MIN_SCORE = MIN_PASSAGE * MATCH + 2 * (MISMATCH - MATCH) - 1e-6
 #: Words in a row that may be changed within a passage, and marks that may stand between two of its words in the text.
 CHANGED, MARKS = 1, 1
-#: A passage has ten words in a row of which so many are repeated; in the text they lie within REACH words of a seed among them.
-REPEATED, REACH = 8, 16
+#: Words by which text and account may shift against each other between two seeds.
+DRIFT = 4
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -162,25 +162,36 @@ class LeakScanner:
         entry = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
         return self.item[entry], self.place[entry], np.repeat(where, many), self.rare[entry]
 
-    def _may_repeat(self, account: np.ndarray, i: int, codes: np.ndarray, j: int) -> bool:
-        """Whether ten words of the account around a seed, REPEATED of them, lie near the seed in the text."""
-        begin = max(0, i - MIN_PASSAGE + SEED_WORDS)
-        near = np.isin(account[begin : i + MIN_PASSAGE], codes[max(0, j - REACH) : j + REACH + SEED_WORDS])
-        sums = np.concatenate(([0], np.cumsum(near)))
-        return len(near) >= MIN_PASSAGE and bool((sums[MIN_PASSAGE:] - sums[:-MIN_PASSAGE] >= REPEATED).any())
+    def _most_repeated(self, account: np.ndarray, codes: np.ndarray, shifts: np.ndarray) -> int:
+        """No passages of the text repeat more words of the account than this. Around each shift between text and account on which they share a seed, words may
+        stand DRIFT apart from it; single words that differ are filled in, and stretches of MIN_PASSAGE words count."""
+        n, pad = len(account), len(account) + DRIFT
+        if n < MIN_PASSAGE:
+            return 0
+        padded = np.concatenate((np.full(pad, -1, dtype=np.int32), codes, np.full(pad, -1, dtype=np.int32)))
+        at = pad + shifts[:, None] + np.arange(n)[None, :]
+        near = np.zeros(at.shape, dtype=bool)
+        for drift in range(-DRIFT, DRIFT + 1):
+            near |= padded[at + drift] == account
+        near[:, 1:-1] |= near[:, :-2] & near[:, 2:]
+        sums = np.zeros((len(near), n + 1), dtype=np.int32)
+        np.cumsum(near, axis=1, out=sums[:, 1:])
+        whole = (sums[:, MIN_PASSAGE:] - sums[:, :-MIN_PASSAGE] == MIN_PASSAGE).any(axis=0)
+        covered = np.zeros(n, dtype=bool)
+        for k in range(MIN_PASSAGE):
+            covered[k : k + len(whole)] |= whole
+        return int(covered.sum())
 
     def scan(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
-        """(item_id, words repeated, words of the account, passages) of each item of which the text repeats a passage that holds a rare seed."""
+        """(item_id, words repeated, words of the account, passages) of each item of which the text may repeat MIN_SHARE, and that has a rare seed in it and a passage."""
         codes = np.array([self.vocabulary.get(w, -1) for w in words(text)], dtype=np.int32)
         item, i, j, rare = self._hits(codes)
-        tried: set[int] = set()
-        for k, a, b in zip(item[rare].tolist(), i[rare].tolist(), j[rare].tolist(), strict=True):
-            account = self.accounts[k]
-            if k in tried or not self._may_repeat(account, a, codes, b):
+        for k in np.unique(item[rare]).tolist():
+            account, own = self.accounts[k], item == k
+            if self._most_repeated(account, codes, np.unique(j[own] - i[own])) < MIN_SHARE * len(account):
                 continue
-            tried.add(k)
             covered, count = np.zeros(len(account), dtype=bool), 0
-            for start, stop in self._windows(sorted(j[item == k].tolist()), len(account), len(codes)):
+            for start, stop in self._windows(sorted(j[own].tolist()), len(account), len(codes)):
                 for first, last in passages(account, codes[start:stop]):
                     covered[first : last + 1] = True
                     count += 1
@@ -218,7 +229,7 @@ def seeded(found: DataFrame) -> DataFrame:
 
 
 def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(item_id, doc_id, words_repeated, account_words, passages) of candidate pairs (see ``scan``).
+    """(item_id, doc_id, words_repeated, account_words, passages) of pairs that may reach MIN_SHARE (see ``scan`` and ``leaked``).
 
     Null and empty texts have no passage; equal texts under several ids are found each. Items without an
     account (see ``accounts``) and accounts under MIN_PASSAGE words match nothing.
