@@ -30,6 +30,8 @@ MATCH, MISMATCH, GAP = 1.0, -0.9, -1.0
 MIN_SCORE = MIN_PASSAGE * MATCH + 2 * (MISMATCH - MATCH) - 1e-6
 #: Words in a row that may be changed within a passage, and marks that may stand between two of its words in the text.
 CHANGED, MARKS = 1, 1
+#: Passages hold one shared seed in so many words at least: twelve words with three changed ones may have a single one.
+WORDS_PER_SEED = 12
 #: Words by which text and account may shift against each other between two seeds.
 DRIFT = 4
 WORD = re.compile(r"[^\W_]+")
@@ -37,7 +39,8 @@ WORD = re.compile(r"[^\W_]+")
 
 def words(text: str | None) -> list[str]:
     """Runs of letters and digits in lower case, compatibility forms folded; null has none."""
-    return WORD.findall(unicodedata.normalize("NFKC", text or "").lower())
+    text = text or ""
+    return WORD.findall((text if text.isascii() else unicodedata.normalize("NFKC", text)).lower())
 
 
 def accounts(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -188,7 +191,7 @@ class LeakScanner:
         item, i, j, rare = self._hits(codes)
         for k in np.unique(item[rare]).tolist():
             account, own = self.accounts[k], item == k
-            if self._most_repeated(account, codes, np.unique(j[own] - i[own])) < MIN_SHARE * len(account):
+            if own.sum() * WORDS_PER_SEED < MIN_SHARE * len(account) or self._most_repeated(account, codes, np.unique(j[own] - i[own])) < MIN_SHARE * len(account):
                 continue
             covered, count = np.zeros(len(account), dtype=bool), 0
             for start, stop in self._windows(sorted(j[own].tolist()), len(account), len(codes)):

@@ -36,8 +36,10 @@ SEGMENTS = TAU + SHARED
 CHARS_PER_EDIT = 5
 #: Bits of either filter, of entries and of threes: a fixed 8 MB each. A full filter lets more through, never less.
 FILTER_BITS = 26
+#: Characters of a plan that the driver keeps for each job of a replay.
+PLAN_TEXT = 2_000
 #: Appends that run at once, beside the answer.
-WRITERS = 2
+WRITERS = 1
 #: Two spellings are both words of their own if each stands in so many titles and they are about as frequent.
 OWN_WORD_TITLES, OWN_WORD_RATIO = 3, 0.02
 
@@ -441,7 +443,8 @@ class TitleHistory:
         base = batch.select("row_no", "record_id", "title")
         forms = stage(with_forms(base))
         own = forms.groupBy("class").agg(F.first("form").alias("form"), F.first("other").alias("other"))
-        classes = stage(own.join(known.select("class", F.lit(True).alias("equal")), "class", "left"))
+        classes = own.join(known.select("class", F.lit(True).alias("equal")), "class", "left")
+        classes = stage(classes.repartition(self.spark.sparkContext.defaultParallelism, "class"))  # probing is work for all cores
         fresh = classes.filter("equal IS NULL")
         new_words = fresh.select(F.explode(F.array_distinct(F.split("form", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
         new_ids = base.select("record_id").filter("record_id IS NOT NULL").distinct().join(ids.select("record_id"), "record_id", "left_anti")
@@ -477,7 +480,10 @@ def already_there(rows: DataFrame) -> DataFrame:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     history, found = TitleHistory(spark, path), None
     base = rows.select("row_no", "record_id", "title", "batch_no")
+    before = spark.conf.get("spark.sql.maxPlanStringLength")
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)  # the driver keeps the plans of all these jobs as text
     for number in sorted(r[0] for r in base.filter("batch_no IS NOT NULL").select("batch_no").distinct().collect()):
         part = history.accept(base.filter(F.col("batch_no") == number), number)
         found = part if found is None else found.unionByName(part)
+    spark.conf.set("spark.sql.maxPlanStringLength", before)
     return found if found is not None else spark.createDataFrame([], "row_no bigint, by_id boolean, by_title boolean")
