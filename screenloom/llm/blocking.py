@@ -11,12 +11,13 @@ from screenloom.session import cut
 CHUNK_ROWS = 1_000
 
 
-def key_pairs(rows: DataFrame, key: str, id_col: str, chunk: int = CHUNK_ROWS) -> DataFrame:
+def key_pairs(rows: DataFrame, key: str, id_col: str, chunk: int | None = None) -> DataFrame:
     """Distinct (a, b), a < b, of ids that share a value of ``key``; no pair is left out.
 
     Hot keys are found by a pre-aggregated count and split by a hash of the id into chunks: each row goes to
     the cells (own chunk, other chunk), so that a key's pairs spread over many tasks. Null keys pair nothing.
     """
+    chunk = chunk or CHUNK_ROWS
     rows = rows.select(F.col(key).alias("k"), F.col(id_col).alias("id")).filter("k IS NOT NULL AND id IS NOT NULL")
     hot = rows.groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > chunk).select("k", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
     placed = rows.join(hot, "k", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("c", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))

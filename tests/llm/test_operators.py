@@ -35,7 +35,7 @@ def test_sketch_estimates_likeness():
     assert len(sketches.prob_min_hash(a[:0], 16)) == 0
 
 
-def test_near_duplicates_against_brute_force(spark):
+def test_near_duplicates_against_brute_force(spark, monkeypatch):
     rng = random.Random(1)
     base = [" ".join(rng.choice("abcdefghijklmnopqrst") * 3 + str(rng.randrange(40)) for _ in range(60)) for _ in range(12)]
     texts = []
@@ -54,6 +54,16 @@ def test_near_duplicates_against_brute_force(spark):
     assert set(got) == want and len(got) == len(want)
     groups = {r["id"]: r for r in found.groups().collect()}
     assert groups[0]["group"] == groups[36]["group"] and groups[0]["n_copies"] == 3 and 38 not in groups
+    monkeypatch.setattr(blocking, "CHUNK_ROWS", 2)
+    assert {tuple(r) for r in found.pairs().collect()} == want  # hot classes split
+    # weighted shingles: the links are those of the probability Jaccard likeness
+    rare = nearduplicates.NearDuplicates(spark.createDataFrame(rows[:36], "row_no bigint, text string, id int"), "row_no", F.col("text"), 3, 0.5, nearduplicates.rarity)
+    holders = {e: sum(e in s for s in {frozenset(s) for s in sets[:36]}) for s in sets[:36] for e in s}
+    total = len({frozenset(s) for s in sets[:36]})
+    weight = {e: 1 + np.log(total / n) for e, n in holders.items()}
+    like = lambda s, t: sum(1 / sum(max(weight[f] / weight[e] if f in s else 0, weight[f] / weight[e] if f in t else 0) for f in s | t) for e in s & t)
+    heavy = {(a, b) for a in range(36) for b in range(a + 1, 36) if sets[a] == sets[b] or like(sets[a], sets[b]) >= 0.5}
+    assert {tuple(r) for r in rare.pairs().collect()} == heavy and heavy
     empty = nearduplicates.NearDuplicates(spark.createDataFrame([], "row_no bigint, text string"), "row_no", F.col("text"))
     assert empty.pairs().count() == 0 and empty.groups().count() == 0
 
