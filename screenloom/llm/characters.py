@@ -73,6 +73,10 @@ def statement() -> str:
         SELECT field, row_key, CASE WHEN is_case THEN {words} ELSE text END AS text, is_case FROM plained"""
 
 
+#: Bytes that a statement works on at once (a longer text alone).
+BATCH_BYTES = 16_000_000
+
+
 def consistent_form(df: DataFrame) -> DataFrame:
     """(field, row_key, text) -> (field, row_key, text, is_case): every text in one consistent form.
 
@@ -86,12 +90,14 @@ def consistent_form(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
-        con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})  # nothing goes to a machine's own disk
         names = pa.schema([("field", pa.string()), ("row_key", pa.int64()), ("text", pa.string()), ("is_case", pa.bool_())])
         for batch in batches:
-            con.register("batch", pa.Table.from_batches([batch]))
-            found = con.sql(sql).to_arrow_table().cast(names)
-            con.unregister("batch")
-            yield from found.to_batches()
+            rows = max(1, int(BATCH_BYTES / max(1, batch.nbytes / max(1, batch.num_rows))))
+            for at in range(0, batch.num_rows, rows):
+                con.register("batch", pa.Table.from_batches([batch.slice(at, rows)]))
+                found = con.sql(sql).to_arrow_table().cast(names)
+                con.unregister("batch")
+                yield from found.to_batches()
 
     return df.select("field", "row_key", "text").mapInArrow(run, "field string, row_key bigint, text string, is_case boolean")
