@@ -122,19 +122,22 @@ def _counted(flow: np.ndarray, ends: np.ndarray, names: list[str], kinds: list[t
     size = np.int64(len(names))
     real = np.nonzero((flow > 0) & np.array([n[:1] not in STOPS or not n for n in names], dtype=bool)[flow])[0]
     two = flow[real - 1] * size + flow[real]
-    three = flow[real - 2] * size * size + two  # up to 2 million different words a batch
+    # threes are coded over the pairs that occur, so that no number of different words is too large
+    pairs, of = np.unique(two, return_inverse=True)
+    three = flow[real - 2] * np.int64(len(pairs)) + of
     for keys, width in ((two, 2), (three, 3)):
         values, where = np.unique(keys, return_inverse=True)
         n_all = np.bincount(where)
         n_end = np.bincount(where, weights=ends[real]).astype(np.int64)
-        last, before = values % size, values // size % size
+        both = values if width == 2 else pairs[values % len(pairs)]
+        last, before = both % size, both // size
         rows = len(values)
         nothing = pa.nulls(rows)
         if width == 2:
             w1, w2, h = pa.array([names[k] for k in last], pa.string()), pa.array([names[k] for k in before], pa.string()), nothing.cast(pa.int64())
         else:
             w1 = w2 = nothing.cast(pa.string())
-            h = pa.array([_hash3(names[a], names[b], names[c]) for a, b, c in zip(values // size // size, before, last, strict=True)], pa.int64())
+            h = pa.array([_hash3(names[a], names[b], names[c]) for a, b, c in zip(values // len(pairs), before, last, strict=True)], pa.int64())
         full = {"w1": w1, "w2": w2, "three": h, "n_all": pa.array(n_all, pa.int64()), "n_end": pa.array(n_end, pa.int64())}
         yield pa.RecordBatch.from_arrays([full.get(n, nothing.cast(t)) for n, t in kinds], names=[n for n, _ in kinds])
 
