@@ -44,7 +44,7 @@ QUERIES = {
     "majority_code": lambda s, d: votes.per_model(_runs(s, d)).select("record_id", "model", "majority_code", "decision"),
     "confidence_tier": lambda s, d: votes.per_model(_runs(s, d)).groupBy("model", "confidence").agg(F.count("*").alias("n")),
     "code_counts": lambda s, d: votes.code_counts(_runs(s, d)),
-    "code_count_maps": lambda s, d: votes.code_count_maps(_runs(s, d)),
+    "code_count_maps": lambda s, d: votes.code_count_maps(_runs(s, d)).select("record_id", F.to_json("code_counts").alias("code_counts")),
     "consensus_verdict": lambda s, d: votes.verdicts(_runs(s, d)),
     "needs_second_opinion": lambda s, d: votes.verdicts(_runs(s, d)).filter("needs_second_opinion").select("record_id"),
     "disagreement_band": lambda s, d: votes.disagreements(votes.verdicts(_runs(s, d))).select("record_id", "vote_share_include"),
@@ -136,6 +136,7 @@ ORACLES = {
     "vote_share_per_model": f"{BASE} SELECT record_id, model, cast(n_runs AS bigint) AS n_runs, round(share, 6) AS vote_share_include FROM models",
     "majority_code": f"{BASE} SELECT record_id, model, majority_code, decision FROM models",
     "confidence_tier": f"{BASE} SELECT model, CASE WHEN top_share >= 1 THEN 'High' WHEN top_share >= 0.6 THEN 'Medium' ELSE 'Low' END AS confidence, count(*) AS n FROM models GROUP BY 1, 2",
+    "code_count_maps": f"""WITH {RUNS}, c AS (SELECT record_id, coalesce(code, 'INCLUDE_TA') AS code, count(*) AS n FROM runs GROUP BY 1, 2) SELECT record_id, '{{' || string_agg('"' || code || '":' || n, ',' ORDER BY code) || '}}' AS code_counts FROM c GROUP BY 1""",
     "code_counts": f"WITH {RUNS} SELECT record_id, coalesce(code, 'INCLUDE_TA') AS code, count(*) AS n FROM runs GROUP BY 1, 2",
     "consensus_verdict": f"{BASE} SELECT * FROM verdicts",
     "needs_second_opinion": f"{BASE} SELECT record_id FROM verdicts WHERE needs_second_opinion",
