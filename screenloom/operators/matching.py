@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenloom.functions import keys
-from screenloom.operators.references import title_ratio
-from screenloom.session import cut
+from screenloom.functions.likeness import Titles, common, exact_ratio
+from screenloom.session import cut, stage
 
 #: Words of a title, rarest first, on which candidates are joined; the least likeness of two titles of one publication.
 RARE_WORDS, LEAST_RATIO = 6, 0.80
+#: Titles of either side that meet in one block; a word with more of them has several blocks.
+BLOCK_TITLES = 500
+#: Best ratings kept beside the blocks of a task; they only spare work.
+KEPT_BEST = 200_000
 #: A first line of so many characters is no title.
 SHORT_LINE = 25
 
@@ -29,27 +37,147 @@ def sniffed(files: DataFrame, text: str = "text", title: str = "meta_title") ->
     return files.withColumns({"dois": keys.dois_in(F.concat_ws(" ", own, F.array_join(pages, " "))), "rough_title": F.when(own != "", own).otherwise(F.coalesce(F.get(lines, F.lit(0)), F.lit("")))})
 
 
-def _rare(rows: DataFrame, own: str, counts: DataFrame) -> DataFrame:
-    """(own, word): the RARE_WORDS rarest words of each title; a title has few words."""
-    words = rows.select(own, F.explode(F.array_distinct(F.split("t", " "))).alias("word")).filter("word <> ''")
-    ranked = words.join(counts, "word").groupBy(own).agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "word"))), 1, RARE_WORDS).alias("w"))
-    return ranked.select(own, F.explode("w.word").alias("word"))
+def _rare(titles: DataFrame) -> DataFrame:
+    """(t, words): hashes of the RARE_WORDS rarest words of each title key (t, n), as counted over all n rows of each."""
+    words = titles.groupBy("t").agg(F.sum("n").alias("n")).select("t", "n", F.explode(F.array_distinct(F.split("t", " "))).alias("word")).filter("word <> ''")
+    counts = words.groupBy("word").agg(F.sum("n").alias("n"))
+    ranked = words.select("t", "word").join(counts, "word").groupBy("t").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "word"))), 1, RARE_WORDS).alias("w"))  # a title has few words
+    return ranked.select("t", F.array_sort(F.transform("w", lambda x: F.xxhash64(x["word"]))).alias("words"))
+
+
+def _met(a: DataFrame, b: DataFrame, rate: Callable, schema: str) -> DataFrame:
+    """What ``rate`` gives for the titles of a and b (id, t, year, least, n) that share one of the rarest words of both, each pair of titles once.
+
+    Titles of a word meet in blocks of about BLOCK_TITLES of either side, so a word that is common after all takes many small blocks and no large task.
+    """
+    rare = stage(_rare(a.select("t", "n").unionByName(b.select("t", "n"))))
+    sides = [x.join(rare, "t").select("id", "t", "year", "least", "words", F.explode("words").alias("word")) for x in (a, b)]
+    many = [x.groupBy("word").agg(F.ceil(F.count("*") / BLOCK_TITLES).cast("int").alias(n)) for x, n in zip(sides, ("ca", "cb"), strict=True)]
+    cells = stage(many[0].join(many[1], "word"))
+    own = [F.pmod(F.xxhash64("id"), F.col(n)).cast("int") for n in ("ca", "cb")]
+    other = [F.explode(F.sequence(F.lit(0), F.col(n) - 1)) for n in ("cb", "ca")]
+    left = sides[0].join(cells, "word").select("word", own[0].alias("i"), other[0].alias("j"), F.lit(False).alias("right"), "id", "t", "year", "least", "words")
+    right = sides[1].join(cells, "word").select("word", other[1].alias("i"), own[1].alias("j"), F.lit(True).alias("right"), "id", "t", "year", "least", "words")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            key = [part.column(k).to_numpy() for k in range(3)]
+            ends = [0, *(np.nonzero(np.any([k[1:] != k[:-1] for k in key], axis=0))[0] + 1).tolist(), part.num_rows]
+            for x, y in zip(ends, ends[1:], strict=False):
+                if y == x:
+                    continue
+                if held and any(held[-1].column(k)[0] != part.column(k)[x] for k in range(3)):
+                    yield pa.concat_tables(held)
+                    held = []
+                held.append(part.slice(x, y - x))
+        if held:
+            yield pa.concat_tables(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, float] = {}
+        for block in blocks(batches):
+            right = block.column("right").to_numpy()
+            if right.all() or not right.any():
+                continue
+            word, parts = block.column("word")[0].as_py(), []
+            for rows in (block.filter(pa.array(~right)), block.filter(pa.array(right))):
+                lists = rows.column("words").combine_chunks()
+                words = np.zeros((rows.num_rows, RARE_WORDS), dtype=np.int64)
+                sizes = np.diff(lists.offsets.to_numpy())
+                words[np.repeat(np.arange(len(sizes)), sizes), np.concatenate([np.arange(n) for n in sizes])] = lists.flatten().to_numpy()
+                lower = (np.arange(RARE_WORDS)[None, :] < sizes[:, None]) & (words < word)
+                years = rows.column("year").to_numpy().astype(float)  # null is nan
+                parts.append((rows.column("id").to_numpy(), Titles(rows.column("t").to_pylist()), years, rows.column("least").to_numpy(), words, lower))
+            a, b = parts
+            once = np.ones((len(a[0]), len(b[0])), dtype=bool)  # a pair counts in the block of the first word that it shares
+            for x in range(RARE_WORDS):
+                for y in range(RARE_WORDS):
+                    who, whom = np.nonzero(a[5][:, x])[0], np.nonzero(b[5][:, y])[0]
+                    if len(who) and len(whom):
+                        once[np.ix_(who, whom)] &= a[4][who, x][:, None] != b[4][whom, y][None, :]
+            if len(best) > KEPT_BEST:
+                best.clear()
+            yield from rate(a[:4], b[:4], once, best)
+
+    both = left.unionByName(right)
+    spark = a.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)  # work lies in pairs, not in bytes
+    return both.repartition(tasks, "word", "i", "j").sortWithinPartitions("word", "i", "j").mapInArrow(run, schema)
+
+
+def _title_rows(rows: DataFrame, own: str) -> DataFrame:
+    """The rows with t, their title key, and without blank ones."""
+    return rows.withColumn("t", keys.title_key_untagged(F.col("title"))).filter("t <> ''").withColumn("id", F.xxhash64("t")).withColumnRenamed(own, "_own")
 
 
 def title_pairs(left: DataFrame, right: DataFrame, least: float = LEAST_RATIO) -> DataFrame:
     """(l, r, ratio) of titles (l, title) and (r, title) with a ratio of at least ``least``.
 
-    Candidates share one of the RARE_WORDS rarest words of either title, as counted over both tables, so common words never join; two lengths too far
-    apart for the ratio are ruled out before it is computed, in Arrow batches. Blank titles pair with nothing. Two titles that share no rare word are
-    missed however alike they are: tests measure that share.
+    Candidates share one of the RARE_WORDS rarest words of both titles, as counted over both tables. Equal keys are one title. Lengths, then the longest
+    common subsequence, rule out pairs that can't reach the ratio before it is computed, so the result is that of computing it for all candidates. Blank titles
+    pair with nothing. Two titles that share no rare word are missed however alike they are: tests measure that share.
+    """
+    a, b = _title_rows(left.select("l", "title"), "l"), _title_rows(right.select("r", "title"), "r")
+    one = [x.groupBy("id", "t").agg(F.count("*").alias("n")).select("id", "t", "n", F.lit(None).cast("int").alias("year"), F.lit(0.0).alias("least")) for x in (a, b)]
+
+    def rate(x: tuple, y: tuple, once: np.ndarray, best: dict[int, float]) -> Iterator[pa.RecordBatch]:
+        m, n = x[1].length[:, None], y[1].length[None, :]
+        i, j = np.nonzero(once & (2 * np.minimum(m, n) >= least * (m + n)))
+        total = x[1].length[i] + y[1].length[j]
+        near = np.nonzero(2 * common(x[1], y[1], i, j) >= least * total - 1e-9)[0]
+        found = [(k, r) for k in near if (r := exact_ratio(x[1].texts[i[k]], y[1].texts[j[k]])) >= least]
+        if found:
+            at = np.array([k for k, _ in found])
+            yield pa.RecordBatch.from_arrays([pa.array(x[0][i[at]]), pa.array(y[0][j[at]]), pa.array([r for _, r in found], pa.float64())], names=["x", "y", "ratio"])
+
+    near = _met(*one, rate, "x bigint, y bigint, ratio double")
+    ids = [df.select(F.col("_own").alias(own), F.col("id").alias(key)) for df, own, key in ((a, "l", "x"), (b, "r", "y"))]
+    return near.join(ids[0], "x").join(ids[1], "y").select("l", "r", "ratio")
+
+
+def best_title_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(l, r, ratio) as of ``title_pairs``, of titles with years (l, title, year) and (r, title, year), less pairs that can't be the best rated one of l.
+
+    Ratings are those of ``references.best_candidates``, ties go to the smallest r. Titles of one key and year are one; an equal key gives a title its first rating;
+    a pair whose bound is rated lower than what its title has already isn't computed. What is left has the best pair of every l.
     """
-    a = left.select("l", keys.title_key_untagged(F.col("title")).alias("t")).filter("t <> ''")
-    b = right.select("r", keys.title_key_untagged(F.col("title")).alias("t")).filter("t <> ''")
-    counts = a.select("t").unionByName(b.select("t")).select(F.explode(F.array_distinct(F.split("t", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    pairs = _rare(a, "l", counts).join(_rare(b, "r", counts), "word").select("l", "r").distinct()
-    full = pairs.join(a.withColumnRenamed("t", "x"), "l").join(b.withColumnRenamed("t", "y"), "r")
-    possible = 2 * F.least(F.length("x"), F.length("y")) >= least * (F.length("x") + F.length("y"))
-    return full.filter(possible).select("l", "r", title_ratio("x", "y").alias("ratio")).filter(F.col("ratio") >= least)
+    own = lambda df, name: _title_rows(df.select(name, "title", F.col("year").cast("int").alias("year")), name).withColumn("id", F.xxhash64("t", "year"))
+    a, b = own(left, "l"), own(right, "r")
+    one = [x.groupBy("id", "t", "year").agg(F.count("*").alias("n"), F.min("_own").alias("first")) for x in (a, b)]
+    apart = F.abs(F.col("year") - F.col("y"))
+    equal = one[0].select("id", "t", "year").join(one[1].select("t", F.col("year").alias("y")), "t").groupBy("id").agg(F.max(F.when(apart > 2, 85.0).otherwise(100.0)).alias("least"))
+    sides = [one[0].join(equal, "id", "left").select("id", "t", "n", "year", F.coalesce("least", F.lit(0.0)).alias("least")), one[1].select("id", "t", "n", "year", F.lit(0.0).alias("least"))]
+
+    def rated(ratio: np.ndarray, years: np.ndarray, slack: float) -> np.ndarray:
+        base = np.floor(ratio * 100 + 0.5 + slack)
+        return np.where(years == 0, np.minimum(100, base + 5), np.where(years > 2, np.maximum(0, base - 15), base))
+
+    def rate(x: tuple, y: tuple, once: np.ndarray, best: dict[int, float]) -> Iterator[pa.RecordBatch]:
+        have = np.array([max(best.get(k, 0.0), s) for k, s in zip(x[0].tolist(), x[3].tolist(), strict=True)])
+        m, n = x[1].length[:, None], y[1].length[None, :]
+        bound = 2 * np.minimum(m, n) / (m + n)
+        years = np.abs(x[2][:, None] - y[2][None, :])
+        i, j = np.nonzero(once & (bound >= least - 1e-9) & (rated(bound, years, 1e-9) >= have[:, None]))
+        bound, years = 2 * common(x[1], y[1], i, j) / (x[1].length[i] + y[1].length[j]), years[i, j]
+        most = rated(bound, years, 1e-9)
+        near = np.nonzero((bound >= least - 1e-9) & (most >= have[i]))[0]
+        found = []
+        for k in near[np.argsort(-most[near], kind="stable")]:
+            if most[k] >= have[i[k]] and (r := exact_ratio(x[1].texts[i[k]], y[1].texts[j[k]])) >= least:
+                reached = float(rated(np.float64(r), years[k], -1e-9))
+                if float(rated(np.float64(r), years[k], 1e-9)) >= have[i[k]]:
+                    found.append((k, r))
+                have[i[k]] = max(have[i[k]], reached)
+        best.update(zip(x[0].tolist(), have.tolist(), strict=True))
+        if found:
+            at = np.array([k for k, _ in found])
+            yield pa.RecordBatch.from_arrays([pa.array(x[0][i[at]]), pa.array(y[0][j[at]]), pa.array([r for _, r in found], pa.float64())], names=["x", "y", "ratio"])
+
+    near = _met(*sides, rate, "x bigint, y bigint, ratio double")
+    ids = a.select(F.col("_own").alias("l"), F.col("id").alias("x"))
+    return near.join(ids, "x").join(one[1].select(F.col("id").alias("y"), F.col("first").alias("r")), "y").select("l", "r", "ratio")
 
 
 def one_to_one(options: DataFrame) -> DataFrame:

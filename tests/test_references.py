@@ -1,10 +1,16 @@
+import difflib
 import io
+import random
+import time
 import zipfile
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from screenloom.operators import incremental, inventory, panel, references, retrieval
+from screenloom.functions import likeness
+from screenloom.operators import incremental, inventory, matching, panel, references, retrieval
 from screenloom.sources import library, ris, sinks, tabular
 from screenloom.streaming import resume
 
@@ -150,3 +156,57 @@ def test_panel(spark):
     requests = panel.expand(rows, ["m", "n"], 3)
     assert panel.hash_panel(requests).count() == 6
     assert panel.screen(requests, lambda b: b["text"] + b["model"], "text").filter("raw = 'tm'").count() == 3
+
+
+def test_best_titles_are_those_of_all_candidates(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(25)]
+    title = lambda: " ".join(rng.choice(words) for _ in range(7))
+    right = [(k, title(), rng.choice([None, 2001, 2002, 2009])) for k in range(700)]  # every word is common: several blocks each
+    left = [(f"k{k}", right[k * 3][1] if k % 4 == 0 else right[k * 3][1][:-5] + "x" if k % 4 == 1 else title(), rng.choice([None, 2001, 2005])) for k in range(150)]
+    a, b = spark.createDataFrame(left, "l string, title string, year int"), spark.createDataFrame(right, "r bigint, title string, year int")
+    blocks = matching.BLOCK_TITLES
+    matching.BLOCK_TITLES = 60
+    try:
+        pairs = {(r["l"], r["r"]): r["ratio"] for r in matching.title_pairs(a.drop("year"), b.drop("year"), 0.6).collect()}
+        best = {(r["l"], r["r"]): r["ratio"] for r in matching.best_title_pairs(a, b, 0.6).collect()}
+    finally:
+        matching.BLOCK_TITLES = blocks
+    counts = Counter(w for t in [t for _, t, _ in left + right] for w in set(t.split()))
+    rare = lambda t: set(sorted(set(t.split()), key=lambda w: (counts[w], w))[:6])
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    wanted = {(l, r): q for l, t, _ in left for r, u, _ in right if rare(t) & rare(u) and (q := ratio(t, u)) >= 0.6}
+    assert pairs == wanted and len(best) < len(pairs)
+    year, other = dict((l, y) for l, _, y in left), {r: (u, y) for r, u, y in right}
+    rows = spark.createDataFrame([(l, str(y) if y else None) for l, _, y in left], "key string, year string")
+    made = lambda found: references.best_candidates(rows, spark.createDataFrame([(l, r, f"d{r}", *other[r], q) for (l, r), q in found.items()], "key string, ord bigint, doi string, cand_title string, cand_year int, ratio double")).collect()
+    assert sorted(made(best)) == sorted(made(wanted)) and len(year) == 150
+    assert matching.best_title_pairs(a.limit(0), b, 0.6).count() == 0
+
+
+def test_common_words_cost_bounds_and_no_ratios(spark):
+    """A word of every title used to have the ratio computed for each pair: some minutes for 2,000 titles of either side."""
+    rng = random.Random(6)
+    made = [" ".join(["trial", *("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(3))]) for _ in range(2000)]
+    a, b = spark.createDataFrame(list(enumerate(made)), "l int, title string"), spark.createDataFrame(list(enumerate(made)), "r int, title string")
+    began = time.time()
+    assert {(r["l"], r["r"]) for r in matching.title_pairs(a, b).collect()} == {(k, k) for k in range(2000)}
+    assert time.time() - began < 60
+
+
+def test_common_subsequence():
+    rng = random.Random(7)
+    texts = ["", "a", "b" * 64, "b" * 65, "ab" * 70, *("".join(rng.choices("abc 1", k=rng.randrange(1, 200))) for _ in range(25))]
+
+    def plain(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            new = [0]
+            for k, d in enumerate(y):
+                new.append(row[k] + 1 if c == d else max(row[k + 1], new[k]))
+            row = new
+        return row[-1]
+
+    one = likeness.Titles(texts)
+    i, j = (x.ravel() for x in np.mgrid[: len(texts), : len(texts)])
+    assert likeness.common(one, one, i, j).tolist() == [plain(texts[p], texts[q]) for p, q in zip(i, j, strict=True)]
