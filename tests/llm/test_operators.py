@@ -1,12 +1,15 @@
 """Training-data operators: brute force, round trips, held-out accuracy, and the odd inputs."""
 
+import os
 import random
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from screenloom.llm import abuse, blocking, characters, consensus, leakage, names, nearduplicates, sketches, titles, tokenization, truncation
+from screenloom.session import ensure_checkpoint_dir
 
 LONG = "word " * 60_000
 
@@ -373,3 +376,26 @@ def test_abuse_on_held_out_sentences(spark):
     assert np.mean([got[r[0]]["flagged"] == bool(r[3]) for r in rows[120:]]) > 0.95
     assert got[900]["score"] is None and not got[901]["flagged"] and got[902]["flagged"] and not got[903]["flagged"]
     assert not any(r["flagged"] for r in abuse.scores(df, labels.filter("toxic = 0")).collect())
+
+
+def test_keys_meet_under_a_condition(spark):
+    rows = [(k % 7, k, "a" if k % 3 else "b") for k in range(60)] + [(99, 1, "a"), (None, 2, "a")]
+    df = spark.createDataFrame(rows, "key int, id bigint, kind string")
+    for chunk in (4, 1000):
+        got = [tuple(r) for r in blocking.key_pairs(df, "key", "id", chunk, carry=("kind",), keep=lambda x, y: F.col(f"kind{x}") == F.col(f"kind{y}")).collect()]
+        assert sorted(got) == [(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 == b % 7 and (a % 3 > 0) == (b % 3 > 0)]
+
+
+def test_near_duplicates_keep_neither_shingles_nor_bands(spark):
+    """Shingles, kept twice, and bands of eight bytes took some 3,000 bytes a text."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(5000)]
+    texts = [(k, " ".join(rng.choices(words, k=130))) for k in range(400)]
+    texts += [(400 + k, t + " more") for k, t in texts[:5]] + [(500 + k, t) for k, t in texts[:3]]
+    folder = urlparse(ensure_checkpoint_dir(spark)).path
+    size = lambda: sum(os.path.getsize(os.path.join(p, f)) for p, _, fs in os.walk(folder) for f in fs if not f.startswith("."))
+    before = size()
+    found = nearduplicates.NearDuplicates(spark.createDataFrame(texts, "id int, text string"), "id", F.col("text"), 3, 0.5)
+    pairs = {tuple(r) for r in found.pairs().collect()}
+    assert pairs == {(k, 400 + k) for k in range(5)} | {(k, 500 + k) for k in range(3)} | {(400 + k, 500 + k) for k in range(3)}
+    assert size() - before < 400 * len(texts)
