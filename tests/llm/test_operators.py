@@ -159,6 +159,42 @@ def test_history_reads_itself_again(spark, tmp_path):
         assert got == want  # a new process knows what the files tell
 
 
+def test_waiting_batches_are_told_what_each_is_told_alone(spark, tmp_path, monkeypatch):
+    other = [(300, "x", "Keepers of heron colonies near Zoudrabei and their pay", 0), (301, "y", "Keepers of herom colonies near Zoudrabei and their pay", 1)]
+    other += [(310 + k, f"z{k}", f"A {w} of {bird} watching along the {place} coast", 2) for k, (w, place) in enumerate((("survey", "northern"), ("memoir", "rocky"), ("catalogue", "distant"), ("dream", "frozen"))) for bird in ("heron", "herom")]
+    other += [(320, "v", "Songs for heron nests in winter and in early spring", 0), (321, "w", "Songs for herom nests in winter and in early spring", 3), (322, "w", "An entry without any like it", 4), (323, "q", None, 4), (324, "q2", "An entry without any like it", 5)]
+    df = _records(spark).drop("form").unionByName(spark.createDataFrame(other, "row_no bigint, record_id string, title string, batch_no int"))
+    one, many = titles.TitleHistory(spark, str(tmp_path / "a")), titles.TitleHistory(spark, str(tmp_path / "b"))
+    alone = {tuple(r) for b in range(6) for r in one.accept(df.filter(F.col("batch_no") == b), b).collect()}
+    told = {r[0] for r in alone}
+    assert {301, 322, 324} <= told and 321 not in told  # by batch 3, both spellings are words of their own
+    together = lambda first, last: {tuple(r) for r in many.accept_all(df.filter(F.col("batch_no").between(first, last)), first, last).collect()}
+    got = together(0, 0) | together(1, 4)
+    assert together(1, 4) <= got  # tried again
+    assert got | together(5, 5) == alone
+    staged = []
+    monkeypatch.setattr(titles, "stage", lambda d, stage=titles.stage: staged.append(1) or stage(d))
+    assert {tuple(r) for r in titles.already_there(df).collect()} == alone
+    assert len(staged) <= 3 * 4  # the driver keeps something of every job: there are as many as a history doubles, not as there are batches
+
+
+def test_runs_of_batches():
+    assert titles.runs([(7, 9), (0, 10), (2, 4), (3, 3), (5, 9)]) == [(0, 0), (2, 3), (5, 5), (7, 7)]
+    assert titles.runs([]) == [] and len(titles.runs([(k, 100) for k in range(1_000)])) == 11
+
+
+def test_shifts_that_take_too_many_edits_are_no_probe():
+    full = titles.Filter()
+    full.words[:] = ~np.uint64(0)
+    form = "costs and effects of brief problem solving therapy for anxiety in zoudrabei"
+    mine = set(titles.own_threes(form).tolist())
+    assert len(mine) == 20
+    for other in (form, "x" + form[:30] + form[32:], form[:20] + "abc" + form[20:50] + form[52:]):  # 0, 3 and 5 edits
+        assert mine & set(titles.probe_threes(other, full).tolist())
+    moved = "abcd" + form[:36] + form[40:]  # 8 edits: its segments stand where others may stand, but not together
+    assert len(mine & set(titles.probe_threes(moved, full).tolist())) < len(mine)
+
+
 # ---- names ----
 def test_name_parts():
     person = names.parse_person
