@@ -184,6 +184,37 @@ def test_best_titles_are_those_of_all_candidates(spark):
     assert matching.best_title_pairs(a.limit(0), b, 0.6).count() == 0
 
 
+def test_best_titles_need_no_shared_word(spark):
+    """Titles with a slip in each of their words used to be no candidates, as did those that share only words which are common."""
+    rng = random.Random(9)
+    made = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    right = [(k, " ".join(["trial of", *(made(8) for _ in range(7))]), rng.choice([None, 2001, 2003, 2009])) for k in range(120)]
+    slipped = lambda t: " ".join(w[:3] + "x" + w[4:] if len(w) > 5 else w for w in t.split())
+    left = [(f"k{k}", [right[k][1], slipped(right[k][1]), slipped(right[k][1]).replace(" ", ""), made(70), "", None][k % 6], rng.choice([None, 2001, 2004])) for k in range(60)]
+    left += [("n", right[7][1][:-2], right[7][2]), ("m", right[7][1], right[7][2])]
+    rows = spark.createDataFrame([(l, str(y) if y else None) for l, _, y in left], "key string, year string")
+    other = {r: (u, y) for r, u, y in right}
+    made_best = lambda found: sorted(map(tuple, references.best_candidates(rows, spark.createDataFrame([(l, r, f"d{r}", *other[r], q) for (l, r), q in found.items()], "key string, ord bigint, doi string, cand_title string, cand_year int, ratio double")).collect()), key=str)
+    wanted = {(l, r): q for l, t, _ in left if t for r, u, _ in right if (q := difflib.SequenceMatcher(None, t, u).ratio()) >= 0.6}
+    sizes = matching.ALL_LEFT, matching.ALL_RIGHT
+    matching.ALL_LEFT, matching.ALL_RIGHT = 13, 11  # several blocks
+    try:
+        best = {(r["l"], r["r"]): r["ratio"] for r in matching.best_title_pairs(spark.createDataFrame(left, "l string, title string, year int"), spark.createDataFrame(right, "r bigint, title string, year int"), 0.6).collect()}
+    finally:
+        matching.ALL_LEFT, matching.ALL_RIGHT = sizes
+    assert made_best(best) == made_best(wanted) and {"k1", "k2", "k7"} <= {l for l, _ in best} and best.items() <= wanted.items()
+
+
+def test_bounds_of_shared_letters():
+    rng = random.Random(10)
+    texts = ["a", "ab", *("".join(rng.choices("ab c", k=rng.randrange(1, 150))) for _ in range(20))]
+    texts += [t[:40] + "z" + t[41:] for t in texts if len(t) > 41]
+    bound = likeness.shared_bound(likeness.Titles(texts), likeness.Titles(texts))
+    assert all(bound[i, j] >= likeness.exact_ratio(x, y) - 1e-9 for i, x in enumerate(texts) for j, y in enumerate(texts))
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    assert likeness.shared_bound(likeness.Titles([letters]), likeness.Titles([letters[::-1]]))[0, 0] < 0.7
+
+
 def test_common_words_cost_bounds_and_no_ratios(spark):
     """A word of every title used to have the ratio computed for each pair: some minutes for 2,000 titles of either side."""
     rng = random.Random(6)
