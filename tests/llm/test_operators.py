@@ -435,3 +435,29 @@ def test_near_duplicates_keep_neither_shingles_nor_bands(spark):
     pairs = {tuple(r) for r in found.pairs().collect()}
     assert pairs == {(k, 400 + k) for k in range(5)} | {(k, 500 + k) for k in range(3)} | {(400 + k, 500 + k) for k in range(3)}
     assert size() - before < 400 * len(texts)
+
+
+def test_bands_are_sorted_once_and_no_pair_is_lost(spark):
+    """Bands in several Arrow batches, repeats of a class, and bands of more classes than a chunk; classes used to be written three times before they met."""
+    rng = random.Random(11)
+    rows = [(c, [rng.randrange(40 if p else 4) for p in range(nearduplicates.REGISTERS // nearduplicates.BAND_ROWS)]) for c in range(300)]
+    rows = [(c, [v if p < 2 else c * 1000 + p for p, v in enumerate(b)]) for c, b in rows]
+    wanted = {(a, b) for a, x in rows for b, y in rows if a < b and (x[0] == y[0] or x[1] == y[1])}
+    chunk, batch = nearduplicates.CHUNK_ROWS, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    nearduplicates.CHUNK_ROWS = 30  # bands of the first place have more
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = nearduplicates.band_pairs(spark.createDataFrame(rows + rows[:50], "class bigint, bands array<int>")).collect()
+    finally:
+        nearduplicates.CHUNK_ROWS = chunk
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
+
+
+def test_sketches_are_written_once(spark, monkeypatch):
+    """Bands and marks are larger than their texts on disk; a second copy of them (and a shuffle for it) took the disk of large tables."""
+    written, plain = [], nearduplicates.stage
+    monkeypatch.setattr(nearduplicates, "stage", lambda df: written.append(df.columns) or plain(df))
+    rows = [(k, f"one two three four five {k % 3} six seven eight nine ten {k % 3}") for k in range(12)]
+    found = nearduplicates.NearDuplicates(spark.createDataFrame(rows, "id bigint, text string"), "id", F.col("text"), 3, 0.5)
+    assert sum("bands" in c for c in written) == 1 and found.pairs().count() == 18
